@@ -9,10 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from depthgrid.functions.values import zero_fill
+from depthgrid.operators.align import derive_aspect, mask_baseline
+from depthgrid.operators.settle import attach, settle
 from depthgrid.schema import PAIR, PERIOD_LAYERS, SHARED_LAYERS
+from depthgrid.session import spread
 
 SENTINEL = -9999.0
 KEYS = ("pixel_id",)
+SPREAD_KEYS = {"lineitem": ("l_orderkey", "l_partkey"), "orders": ("o_orderkey",), "events": ("event_id",)}
 RAW_VALUES = (*PERIOD_LAYERS, *SHARED_LAYERS)
 
 _PIXEL_ID = """concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string),
@@ -33,7 +38,7 @@ _PREDICTED = """greatest(0.0D, (l_discount - 0.04D) * l_quantity * 8.0D
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), *SPREAD_KEYS.get(name, ()))
 
 
 def raw_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,10 +54,6 @@ def raw_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked, zero-filled, imputed and derived: the wide counterpart of the pixel table."""
-    from depthgrid.operators.align import derive_aspect, mask_baseline
-    from depthgrid.functions.values import zero_fill
-    from depthgrid.operators.settle import attach, settle
-
     raw = raw_pixels(spark, sf_dir)
     sentinel = F.lit(SENTINEL)
     valid = {c: F.when(F.col(c) != SENTINEL, F.col(c)) for c in SHARED_LAYERS}
@@ -68,9 +69,6 @@ def clean_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def depth_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked and zero-filled rows of the few columns most reports need."""
-    from depthgrid.functions.values import zero_fill
-    from depthgrid.operators.align import mask_baseline
-
     sentinel = F.lit(SENTINEL)
     narrow = raw_pixels(spark, sf_dir).select(
         *PAIR, "pixel_id", "owp_hand_fim", "flood_depth", "predicted"
@@ -106,9 +104,22 @@ def raster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raster_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Layer table of ``raster_cells``: one shape, the sentinel everywhere."""
-    cells = raster_cells(spark, sf_dir)
-    return cells.select(*PAIR, "layer").distinct().select(
-        *PAIR, "layer", F.lit(100).alias("n_rows"), F.lit(100).alias("n_cols"), F.lit(SENTINEL).alias("nodata")
+    watersheds = table(spark, sf_dir, "lineitem").selectExpr("concat('HUC_', l_returnflag) as huc8").distinct()
+    own = [(period, layer) for period in ("10yr", "50yr") for layer in PERIOD_LAYERS]
+    entries = own + [(None, layer) for layer in SHARED_LAYERS]
+    return watersheds.select(
+        "huc8",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(period).cast("string").alias("return_period"), F.lit(layer).alias("layer"))
+                    for period, layer in entries
+                ]
+            )
+        ),
+        F.lit(100).alias("n_rows"),
+        F.lit(100).alias("n_cols"),
+        F.lit(SENTINEL).alias("nodata"),
     )
 
 

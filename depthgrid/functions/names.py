@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 
 def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def parent_folder(path: Column, levels: int = 1) -> Column:
-    """Name of the folder ``levels`` above the file, NULL when the path is shorter."""
-    return F.try_element_at(F.split(path, "/"), F.lit(-1 - levels))
+    """Name of the folder ``levels`` above the file; the path must be that deep."""
+    return F.substring_index(F.substring_index(path, "/", -1 - levels), "/", 1)
 
 
 def without(name: Column, part: Column) -> Column:

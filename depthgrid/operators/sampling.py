@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depthgrid.operators.settle import Settled, attach, settle
+from depthgrid.operators.settle import BROADCAST_ROWS, Settled, attach, settle
 from depthgrid.schema import PAIR, SEED, TARGET
 
 PREFIX_STEP = 3
@@ -63,26 +63,25 @@ def exact_n(
     def prefix(length: int) -> Column:
         return F.substring("_digest", 1, length)
 
-    counts = keyed.groupBy(*group_cols, prefix(PREFIX_STEP).alias("prefix")).count()
-    totals = counts.groupBy(*group_cols).agg(F.sum("count").alias("total"))
+    # Settled, since both the totals and the cut read it: the rows are counted once.
+    counts = settle(keyed.groupBy(*group_cols, prefix(PREFIX_STEP).alias("prefix")).count())
+    totals = counts.table.groupBy(*group_cols).agg(F.sum("count").alias("total"))
     wanted = quota(totals).select(
         *group_cols, F.col("total").cast("long"), F.col("take").cast("long").alias("need")
     )
-    partial = counts.join(wanted.filter("need > 0 and need < total").drop("total"), group_cols)
-    first_cut = _cut_prefix(partial, group_cols)
+    partial = counts.table.join(wanted.filter("need > 0 and need < total").drop("total"), group_cols)
     # A group taken whole or not at all needs no cut.
-    bounds = settle(
+    edges = (
         wanted.withColumnRenamed("need", "take")
-        .join(first_cut, group_cols, "left")
+        .join(_cut_prefix(partial, group_cols), group_cols, "left")
         .select(
             *group_cols,
             F.coalesce("_cut", F.when(F.col("take") <= 0, "").otherwise(_EVERYTHING)).alias("_cut"),
             F.coalesce("need", F.lit(0)).alias("need"),
             F.coalesce("size", F.lit(0)).alias("size"),
-        ),
-        peak=F.max("size"),
+        )
     )
-
+    bounds = settle(edges, peak=F.max("size"))
     length = PREFIX_STEP
     while (bounds.measures["peak"] or 0) > rank_limit and length + PREFIX_STEP <= 32:
         bounds = _narrow(keyed, bounds, group_cols, prefix, length)
@@ -93,18 +92,15 @@ def exact_n(
         keyed.select(*group_cols, "_digest", *_renamed(keys)), bounds, group_cols
     ).filter((F.col("need") > 0) & (F.col("_cut") == prefix(length)))
     in_order = Window.partitionBy(*group_cols).orderBy("_digest", *_key_names(keys))
-    last = settle(
-        bounds.table.join(
-            here.withColumn("rank", F.row_number().over(in_order))
-            .filter("rank = need")
-            .select(
-                *group_cols,
-                F.struct("_digest", *_key_names(keys)).alias("_last"),
-            ),
-            group_cols,
-            "left",
-        ).select(*group_cols, "_cut", "_last")
+    nth = (
+        here.withColumn("rank", F.row_number().over(in_order))
+        .filter("rank = need")
+        .select(*group_cols, F.struct("_digest", *_key_names(keys)).alias("_last"))
     )
+    ends = bounds.table.join(nth, group_cols, "left").select(*group_cols, "_cut", "_last")
+    # One row per group at most, so a bounded number of groups may stay part of the final plan.
+    few = bounds.rows <= BROADCAST_ROWS
+    last = Settled(ends, bounds.rows, bounds.path) if few else settle(ends)
     place = F.struct("_digest", *[F.col(k).alias(n) for k, n in zip(keys, _key_names(keys))])
     chosen = F.when(F.col("_last").isNull(), F.col("_digest") < F.col("_cut")).otherwise(
         place <= F.col("_last")

@@ -22,6 +22,8 @@ SALTS = 32
 
 @dataclass(frozen=True)
 class Settled:
+    """A table and an upper bound of its rows, exact when ``settle`` made it."""
+
     table: DataFrame
     rows: int
     path: str

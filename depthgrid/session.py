@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -40,3 +40,15 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession) -> str:
     """An unused path for one settled table, under the application's own sub-folder."""
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def spread(table: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a share of a scan that comes in fewer splits than there are cores.
+
+    Only a small table does (a split holds a bounded number of bytes); a scan with a split or
+    more per core is returned as it is, without a shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, *keys)
