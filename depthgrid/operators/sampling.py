@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depthgrid.operators.settle import BROADCAST_ROWS, Settled, attach, settle
+from depthgrid.operators.settle import Settled, attach, settle
 from depthgrid.schema import PAIR, SEED, TARGET
 
 PREFIX_STEP = 3
@@ -99,8 +99,7 @@ def exact_n(
     )
     ends = bounds.table.join(nth, group_cols, "left").select(*group_cols, "_cut", "_last")
     # One row per group at most, so a bounded number of groups may stay part of the final plan.
-    few = bounds.rows <= BROADCAST_ROWS
-    last = Settled(ends, bounds.rows, bounds.path) if few else settle(ends)
+    last = Settled(ends, bounds.rows, bounds.path) if bounds.broadcastable else settle(ends)
     place = F.struct("_digest", *[F.col(k).alias(n) for k, n in zip(keys, _key_names(keys))])
     chosen = F.when(F.col("_last").isNull(), F.col("_digest") < F.col("_cut")).otherwise(
         place <= F.col("_last")

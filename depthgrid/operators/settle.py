@@ -29,6 +29,10 @@ class Settled:
     path: str
     measures: dict = field(default_factory=dict)
 
+    @property
+    def broadcastable(self) -> bool:
+        return self.rows <= BROADCAST_ROWS
+
 
 def settle(df: DataFrame, partition_by: Sequence[str] = (), **measures: Column) -> Settled:
     """Write ``df`` to the shared folder; ``measures`` are aggregates observed during the write."""
@@ -51,16 +55,15 @@ def attach(
     facts: Settled,
     keys: Sequence[str],
     how: str = "inner",
-    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join per-group facts onto rows by ``keys`` (``how``: inner, left or left_semi).
 
-    Up to ``limit`` fact rows are broadcast. Beyond that both sides shuffle, with the rows of
+    Up to ``BROADCAST_ROWS`` fact rows are broadcast. Beyond that both sides shuffle, with the rows of
     a group spread over ``SALTS`` reducers and each fact copied to all of them, so that a
     group holding a third of all rows is no single task.
     """
     keys = list(keys)
-    if facts.rows <= limit:
+    if facts.broadcastable:
         return rows.join(F.broadcast(facts.table), keys, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
     copies = facts.table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -1,0 +1,161 @@
+import hashlib
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from depthgrid.operators import sampling, settle as settle_module, strata
+
+PAIR = ["huc8", "return_period"]
+
+
+@pytest.fixture(scope="module")
+def pixels():
+    """Three pairs: a large one with a third and more of all rows, one without zeros, one without positives."""
+    rng = np.random.default_rng(5)
+    n = 900
+    pair = np.where(np.arange(n) < 500, 0, np.where(np.arange(n) < 700, 1, 2))
+    depth = rng.gamma(1.2, 3.0, n).round(3)
+    depth[(pair == 0) & (rng.uniform(size=n) < 0.6)] = 0.0
+    depth[(pair == 0) & (np.arange(n) % 50 == 0)] = -1.0
+    depth[pair == 2] = np.where(np.arange((pair == 2).sum()) % 4 == 0, -2.0, 0.0)
+    return pd.DataFrame(
+        {
+            "huc8": np.array(["01", "01", "02"])[pair],
+            "return_period": np.array(["10yr", "50yr", "10yr"])[pair],
+            "row": np.arange(n) // 30,
+            "col": np.arange(n) % 30,
+            "flood_depth": depth,
+        }
+    )
+
+
+def place(row):
+    return hashlib.md5(f"42:{row['row']}:{row['col']}".encode()).hexdigest()
+
+
+def smallest(rows, n):
+    return rows.assign(h=rows.apply(place, axis=1)).sort_values(["h", "row", "col"]).head(n).drop(columns="h")
+
+
+def balanced_by_hand(pixels):
+    parts = []
+    for _, group in pixels.groupby(PAIR):
+        zero, wet = group[group.flood_depth == 0], group[group.flood_depth > 0]
+        if len(zero) and len(wet):
+            n = min(len(zero), len(wet))
+            parts += [smallest(zero, n), smallest(wet, n)]
+        else:
+            parts.append(group)
+    return pd.concat(parts)
+
+
+def as_set(rows, columns=("huc8", "return_period", "row", "col")):
+    return set(map(tuple, rows[list(columns)].itertuples(index=False)))
+
+
+def test_balance_matches_hand_count(spark, pixels):
+    got = sampling.balance_classes(spark.createDataFrame(pixels), ["row", "col"]).toPandas()
+    assert as_set(got) == as_set(balanced_by_hand(pixels))
+    # Negatives go only where both classes exist.
+    assert (got.flood_depth < 0).groupby([got.huc8, got.return_period]).sum().to_dict() == {
+        ("01", "10yr"): 0, ("01", "50yr"): 0, ("02", "10yr"): 50,
+    }
+
+
+@pytest.mark.parametrize("rank_limit", [1, 3, 10**6])
+@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
+def test_every_path_draws_the_same_rows(spark, pixels, monkeypatch, rank_limit, broadcast_rows):
+    monkeypatch.setattr(settle_module, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(sampling, "PREFIX_STEP", 1)
+
+    def quota(totals):
+        return totals.withColumn("take", F.ceil(F.col("total") * 0.37))
+
+    got = sampling.exact_n(
+        spark.createDataFrame(pixels).repartition(5), PAIR, quota, ["row", "col"], rank_limit=rank_limit
+    ).filter("picked").toPandas()
+    want = pd.concat([smallest(g, math.ceil(len(g) * 0.37)) for _, g in pixels.groupby(PAIR)])
+    assert as_set(got) == as_set(want)
+
+
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_split_does_not_depend_on_partitioning(spark, pixels, parts):
+    rows = spark.createDataFrame(pixels).repartition(parts)
+    got = sampling.random_split(rows, ["row", "col"]).filter("split = 'validation'").toPandas()
+    assert as_set(got) == as_set(smallest(pixels, math.ceil(0.2 * len(pixels))))
+
+
+def quotas_by_hand(counts, fraction):
+    n = sum(counts)
+    n_train = n - math.ceil(fraction * n)
+    if n_train < len(counts) or n - n_train < len(counts):
+        return None
+    whole = [c * n_train // n for c in counts]
+    rest = [c * n_train % n for c in counts]
+    for i in sorted(range(len(counts)), key=lambda i: (-rest[i], i))[: n_train - sum(whole)]:
+        whole[i] += 1
+    return [c - w for c, w in zip(counts, whole)]
+
+
+def test_stratified_split_counts(spark, pixels):
+    binned = strata.depth_strata(spark.createDataFrame(pixels))
+    split = strata.stratified_split(binned, ["row", "col"]).toPandas()
+    kept = strata.drop_rare_strata(binned).toPandas()
+    assert as_set(split) == as_set(kept)
+    for key, group in kept.groupby(PAIR):
+        counts = group.groupby("stratum").size()
+        mine = split[(split.huc8 == key[0]) & (split.return_period == key[1])]
+        taken = mine[mine.split == "test"].groupby("stratum").size().reindex(counts.index, fill_value=0)
+        assert list(taken) == quotas_by_hand(list(counts), 0.3)
+        assert taken.sum() == math.ceil(0.3 * len(group))
+
+
+def test_pair_too_small_for_its_strata_is_left_out(spark):
+    rows = spark.createDataFrame([("h", "p", i, 0, float(i // 2)) for i in range(6)], "huc8 string, return_period string, row int, col int, flood_depth double")
+    assert strata.stratified_split(strata.depth_strata(rows), ["row", "col"]).count() == 0
+
+
+def test_strata_edges(spark):
+    rows = spark.createDataFrame(
+        [("h", "p", float(x)) for x in (0, 1, 1.5, 2, 10)] + [("h", "flat", 3.0)] * 2 + [("h", "inf", float("inf")), ("h", "inf", 1.0)],
+        "huc8 string, return_period string, flood_depth double",
+    )
+    got = {(r.return_period, r.flood_depth): r.stratum for r in strata.depth_strata(rows).collect()}
+    # Right-closed bins: an inner edge belongs to the lower bin; pandas agrees.
+    expected = pd.cut(pd.Series([0, 1, 1.5, 2, 10.0]), bins=10, labels=False) + 1
+    assert [got["p", x] for x in (0.0, 1.0, 1.5, 2.0, 10.0)] == list(expected)
+    assert got["flat", 3.0] == 1
+    assert ("inf", 1.0) not in got
+
+
+def test_fraction_sample_counts(spark, pixels):
+    rows = sampling.random_split(spark.createDataFrame(pixels), ["row", "col"])
+    got = sampling.fraction_sample(rows, ["row", "col"]).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in got} == {"train": 72, "validation": 18}
+
+
+def test_shuffle_keeps_all_rows(spark, pixels):
+    rows = spark.createDataFrame(pixels)
+    mixed = sampling.shuffle_rows(rows, ["row", "col"], partitions=3)
+    assert as_set(mixed.toPandas()) == as_set(pixels)
+    assert mixed.toPandas()["row"].tolist() != pixels["row"].tolist()
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_attach_paths_agree(spark, pixels, monkeypatch, broadcast_rows, how):
+    monkeypatch.setattr(settle_module, "BROADCAST_ROWS", broadcast_rows)
+    rows = spark.createDataFrame(pixels)
+    facts = settle_module.settle(rows.filter("huc8 = '01'").groupBy(*PAIR).agg(F.max("flood_depth").alias("top")))
+    got = settle_module.attach(rows, facts, PAIR, how).toPandas()
+    assert len(got) == {"inner": 700, "left": 900, "left_semi": 700}[how]
+    assert ("top" in got) == (how != "left_semi")
+
+
+def test_no_window_without_partition_and_no_python(spark, pixels):
+    rows = sampling.balance_classes(spark.createDataFrame(pixels), ["row", "col"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "PythonUDF" not in plan and "ArrowEval" not in plan
