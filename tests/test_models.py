@@ -1,0 +1,129 @@
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from depthgrid.models import boosting, search
+from depthgrid.models.params import SQUARED_CONFIG, TWEEDIE_CONFIG, BoostParams
+from depthgrid.operators.regression import regression_report
+
+FEATURES = ["a", "b", "c"]
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rng = np.random.default_rng(4)
+    n = 3000
+    data = pd.DataFrame(rng.uniform(-1, 1, (n, 3)), columns=FEATURES)
+    data["id"] = np.arange(n)
+    signal = np.exp(1 + data.a + (data.b > 0.2))
+    data["label"] = np.where(rng.uniform(size=n) < 0.3, 0.0, signal * rng.gamma(8, 1 / 8, n))
+    data["split"] = np.where(np.arange(n) % 5 == 0, "validation", "train")
+    frame = spark.createDataFrame(data).cache()
+    yield frame
+    frame.unpersist()
+
+
+def params(config, **changes):
+    return BoostParams.from_config(config, **{"n_estimators": 4, "max_depth": 3, **changes})
+
+
+@pytest.mark.parametrize("config", [TWEEDIE_CONFIG, SQUARED_CONFIG])
+def test_error_falls_and_history_is_the_true_error(rows, config):
+    model = boosting.fit_boosted(rows, FEATURES, params(config, subsample=0.8), ["id"], settle_every=2)
+    errors = [h["train_rmse"] for h in model.history]
+    assert errors == sorted(errors, reverse=True) and len(errors) == 4
+    # The closed form after the last round equals an evaluation of the scored rows.
+    report = {r["split"]: r["rmse"] for r in regression_report(model.score(rows), "label").collect()}
+    best = model.history[model.rounds_used - 1]
+    assert report["train"] == pytest.approx(best["train_rmse"], rel=1e-9)
+    assert report["validation"] == pytest.approx(best["validation_rmse"], rel=1e-9)
+
+
+def test_first_round_is_the_regularised_newton_step(rows):
+    p = params(SQUARED_CONFIG, n_estimators=1, max_depth=1, reg_lambda=50.0, reg_alpha=20.0, learning_rate=1.0, early_stopping_rounds=None)
+    model = boosting.fit_boosted(rows, FEATURES, p, ["id"])
+    train = rows.filter("split = 'train'").toPandas()
+    node = model.trees.trees[0].toDebugString
+    feature = int(node.split("feature ")[1].split(" ")[0])
+    threshold = float(node.split("<= ")[1].split(")")[0])
+    left = train[FEATURES[feature]] <= threshold
+    expected = []
+    for side in (left, ~left):
+        residual = (train.label - train.label.mean())[side]
+        g, h = -residual.sum(), side.sum()
+        expected.append(-np.sign(g) * max(abs(g) - 20, 0) / (h + 50))
+    assert model.leaf_weights[0] == pytest.approx(expected)
+
+
+def test_step_limit_and_feature_subset(rows):
+    p = params(TWEEDIE_CONFIG, max_delta_step=0.1, colsample_bytree=0.34, n_estimators=3)
+    model = boosting.fit_boosted(rows, FEATURES, p, ["id"])
+    assert max(abs(w) for ws in model.leaf_weights for w in ws) <= 0.1 * p.learning_rate + 1e-12
+    for tree in model.trees.trees:
+        used = {line.split("feature ")[1].split(" ")[0] for line in tree.toDebugString.splitlines() if "feature" in line}
+        assert len(used) <= 1
+
+
+def test_early_stop_on_a_plateau(rows):
+    noise = rows.withColumn("label", F.when(F.col("split") == "train", F.rand(1)).otherwise(F.lit(0.5)))
+    p = params(SQUARED_CONFIG, n_estimators=12, early_stopping_rounds=2, learning_rate=1.0)
+    model = boosting.fit_boosted(noise, FEATURES, p, ["id"])
+    assert len(model.history) < 12
+    assert model.rounds_used == min(model.history, key=lambda h: h["validation_rmse"])["round"]
+
+
+def test_save_load_and_scoring(spark, rows, tmp_path):
+    model = boosting.fit_boosted(rows, FEATURES, params(TWEEDIE_CONFIG), ["id"])
+    model.save(spark, str(tmp_path / "model"))
+    loaded = boosting.BoostedModel.load(spark, str(tmp_path / "model"))
+    one = model.score(rows).select("id", "predicted").orderBy("id").toPandas()
+    # An earlier score in the table is replaced and not used as a feature.
+    stale = rows.withColumn("predicted", F.lit(-5.0))
+    two = loaded.score(stale).select("id", "predicted").orderBy("id").toPandas()
+    assert one.equals(two)
+    assert loaded.history == model.history and loaded.features == FEATURES
+    plan = loaded.score(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_model_comes_near_the_planted_signal(rows):
+    model = boosting.fit_boosted(rows, FEATURES, params(TWEEDIE_CONFIG, n_estimators=6), ["id"])
+    # The mean given the features is known (0.7 of the signal); noise keeps even that far from 1.
+    truth = 0.7 * F.exp(1 + F.col("a") + F.when(F.col("b") > 0.2, 1.0).otherwise(0.0))
+    best = {r["split"]: r["r2"] for r in regression_report(rows.withColumn("predicted", truth), "label").collect()}
+    got = {r["split"]: r["r2"] for r in regression_report(model.score(rows), "label").collect()}
+    assert 0 < best["validation"] < 1
+    assert got["validation"] > 0.85 * best["validation"]
+
+
+def test_plain_squared_pipeline(rows):
+    model = boosting.fit_plain_squared(rows.filter("split = 'train'"), FEATURES, rounds=3, depth=3, rate=0.3)
+    report = {r["split"]: r["r2"] for r in regression_report(model.transform(rows), "label").collect()}
+    assert report["validation"] > 0.3
+
+
+def test_swarm_finds_a_planted_minimum_and_repeats():
+    bounds = {"max_depth": (3, 10), "learning_rate": (0.01, 0.3)}
+
+    def bowl(candidates):
+        return [(c["max_depth"] - 7) ** 2 + (c["learning_rate"] - 0.2) ** 2 for c in candidates]
+
+    best, log = search.swarm_minimum(bowl, bounds, swarm=8, iterations=20, seed=1)
+    assert best["max_depth"] == 7 and abs(best["learning_rate"] - 0.2) < 0.05
+    assert search.swarm_minimum(bowl, bounds, swarm=8, iterations=20, seed=1) == (best, log)
+    assert all(3 <= c["max_depth"] <= 10 and 0.01 <= c["learning_rate"] <= 0.3 for c in log)
+
+
+def test_hyper_search_and_final_parameters(rows):
+    bounds = {"max_depth": (1, 3), "n_estimators": (1, 3)}
+    best, log = search.hyper_search(rows, FEATURES, SQUARED_CONFIG, ["id"], bounds, swarm=2, iterations=1)
+    table = log.toPandas()
+    assert len(table) == 4 and table.mse.min() == table[(table.max_depth == best["max_depth"]) & (table.n_estimators == best["n_estimators"])].mse.min()
+    final = search.final_parameters(SQUARED_CONFIG, best)
+    assert final.max_depth == best["max_depth"] and final.early_stopping_rounds == 30
+
+
+def test_unknown_parameter_is_refused():
+    with pytest.raises(ValueError, match="unknown"):
+        BoostParams.from_config({"booster": "dart"})
