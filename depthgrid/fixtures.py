@@ -78,28 +78,35 @@ def depth_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SECOND_PERIOD = {
+    "owp_hand_fim": "case when l_tax >= 0.065D then -9999.0D else l_quantity / 8.0D end",
+    "flood_depth": "case when l_discount <= 0.035D then -9999.0D else l_quantity * (1.0D + l_discount) end",
+}
+
+
 def raster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long cells: every line item is a pixel with six shared layers and two periods of own layers."""
+    """Long cells: every line item is a pixel with six shared layers and two periods of own layers.
+
+    Shared layers and periods are separate branches, as they are separate folders of a stored
+    cell table, so a filter on the period skips the others.
+    """
     lines = table(spark, sf_dir, "lineitem")
-    base = lines.selectExpr(
-        "concat('HUC_', l_returnflag) as huc8",
-        f"{_PIXEL_ID} as pixel_id",
-        *[f"{e} as {n}" for n, e in _SHARED.items()],
-        f"{_OWP} as owp_10yr",
-        f"{_FLOOD} as flood_10yr",
-        f"case when l_tax >= 0.065D then -9999.0D else l_quantity / 8.0D end as owp_50yr",
-        f"case when l_discount <= 0.035D then -9999.0D else l_quantity * (1.0D + l_discount) end as flood_50yr",
-    )
-    shared = ", ".join(f"named_struct('p', cast(null as string), 'l', '{n}', 'v', {n})" for n in _SHARED)
-    own = ", ".join(
-        f"named_struct('p', '{p}', 'l', 'owp_hand_fim', 'v', owp_{p}), "
-        f"named_struct('p', '{p}', 'l', 'flood_depth', 'v', flood_{p})"
-        for p in ("10yr", "50yr")
-    )
-    long = base.selectExpr("huc8", "pixel_id", f"inline(array({shared}, {own}))").toDF(
-        "huc8", "pixel_id", "return_period", "layer", "value"
-    )
-    return long.withColumn("value", F.col("value").cast("float"))
+
+    def branch(period: str | None, layers: dict[str, str]) -> DataFrame:
+        cells = ", ".join(f"named_struct('layer', '{n}', 'value', cast({e} as float))" for n, e in layers.items())
+        return lines.select(
+            F.expr("concat('HUC_', l_returnflag)").alias("huc8"),
+            F.expr(_PIXEL_ID).alias("pixel_id"),
+            F.lit(period).cast("string").alias("return_period"),
+            F.expr(f"inline(array({cells}))"),
+        )
+
+    first = {"owp_hand_fim": _OWP, "flood_depth": _FLOOD}
+    return (
+        branch(None, _SHARED)
+        .unionByName(branch("10yr", first))
+        .unionByName(branch("50yr", _SECOND_PERIOD))
+    )
 
 
 def raster_layers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,8 +15,8 @@ from depthgrid.models.boosting import fit_boosted, fit_plain_squared
 from depthgrid.models.params import SQUARED_CONFIG, TWEEDIE_CONFIG, BoostParams
 from depthgrid.models.search import hyper_search
 from depthgrid.operators import align, classify, density, describe, regression, sampling, strata
-from depthgrid.operators.settle import Settled, settle
-from depthgrid.schema import FEATURES, PAIR, SHARED_LAYERS, TARGET, feature_columns
+from depthgrid.operators.settle import settle
+from depthgrid.schema import FEATURES, PAIR, TARGET, feature_columns
 from depthgrid.sources import catalog
 from depthgrid.sources.tables import as_cells
 
@@ -257,7 +257,8 @@ def benchmark_macro_avg(spark, sf):
 
 
 def describe_numeric(spark, sf):
-    return _rounded(describe.describe_numeric(fx.clean_pixels(spark, sf), TARGET))
+    stored = settle(fx.clean_pixels(spark, sf)).table  # several passes follow
+    return _rounded(describe.describe_numeric(stored, TARGET))
 
 
 def table_shape(spark, sf):
@@ -311,10 +312,10 @@ def union_pairs(spark, sf):
 
 
 def training_rows(spark, sf) -> DataFrame:
-    """Clean pixels with capped label and split, as the fits take them."""
-    rows = fx.clean_pixels(spark, sf).drop("predicted")
+    """Stored clean pixels with capped label and split, as the fits take them."""
+    rows = settle(fx.clean_pixels(spark, sf).drop("predicted")).table
     labelled = rows.withColumn("label", v.cap(F.col(TARGET)))
-    return sampling.random_split(labelled, KEYS)
+    return settle(sampling.random_split(labelled, KEYS)).table
 
 
 def _report(scored: DataFrame) -> DataFrame:
@@ -323,13 +324,13 @@ def _report(scored: DataFrame) -> DataFrame:
 
 
 def boost_squared(spark, sf):
-    rows = settle(training_rows(spark, sf)).table
+    rows = training_rows(spark, sf)
     model = fit_plain_squared(rows.filter("split = 'train'"), FEATURES, rounds=5, depth=4, rate=0.3)
     return _report(model.transform(rows))
 
 
 def _tweedie(spark, sf, rounds: int = 5, depth: int = 4):
-    rows = settle(training_rows(spark, sf)).table
+    rows = training_rows(spark, sf)
     params = BoostParams.from_config(TWEEDIE_CONFIG, n_estimators=rounds, max_depth=depth)
     return rows, fit_boosted(rows, FEATURES, params, KEYS)
 
@@ -340,7 +341,7 @@ def boost_tweedie(spark, sf):
 
 
 def boost_history(spark, sf):
-    rows = settle(training_rows(spark, sf)).table
+    rows = training_rows(spark, sf)
     params = BoostParams.from_config(SQUARED_CONFIG, n_estimators=6, max_depth=4, early_stopping_rounds=2)
     return fit_boosted(rows, FEATURES, params, KEYS).history_table(spark)
 
@@ -351,7 +352,7 @@ def score_testset(spark, sf):
 
 
 def hyper_search_query(spark, sf):
-    rows = settle(training_rows(spark, sf)).table
+    rows = training_rows(spark, sf)
     sample = sampling.fraction_sample(rows, KEYS)
     bounds = {"max_depth": (2, 5), "learning_rate": (0.1, 0.5), "n_estimators": (1, 4)}
     _, log = hyper_search(sample, FEATURES, SQUARED_CONFIG, KEYS, bounds, swarm=3, iterations=1)
