@@ -17,7 +17,6 @@ from depthgrid.session import spread
 
 SENTINEL = -9999.0
 KEYS = ("pixel_id",)
-SPREAD_KEYS = {"lineitem": ("l_orderkey", "l_partkey"), "orders": ("o_orderkey",), "events": ("event_id",)}
 RAW_VALUES = (*PERIOD_LAYERS, *SHARED_LAYERS)
 
 _PIXEL_ID = """concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string),
@@ -38,13 +37,19 @@ _PREDICTED = """greatest(0.0D, (l_discount - 0.04D) * l_quantity * 8.0D
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), *SPREAD_KEYS.get(name, ()))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items for work of several passes: a small file is shared out over the cores first."""
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+
+
+def raw_pixels(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Wide pixels with sentinels still in place, and a formula prediction."""
     values = {"owp_hand_fim": _OWP, "flood_depth": _FLOOD, **_SHARED, "predicted": _PREDICTED}
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    lines = lines if lines is not None else table(spark, sf_dir, "lineitem")
+    return lines.selectExpr(
         "concat('HUC_', l_returnflag) as huc8",
         "l_linestatus as return_period",
         f"{_PIXEL_ID} as pixel_id",
@@ -54,7 +59,7 @@ def raw_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked, zero-filled, imputed and derived: the wide counterpart of the pixel table."""
-    raw = raw_pixels(spark, sf_dir)
+    raw = raw_pixels(spark, sf_dir, spread_lines(spark, sf_dir))
     sentinel = F.lit(SENTINEL)
     valid = {c: F.when(F.col(c) != SENTINEL, F.col(c)) for c in SHARED_LAYERS}
     means = settle(raw.groupBy(*PAIR).agg(*[F.avg(v).alias(f"mean_{c}") for c, v in valid.items()]))
@@ -90,7 +95,7 @@ def raster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     Shared layers and periods are separate branches, as they are separate folders of a stored
     cell table, so a filter on the period skips the others.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_lines(spark, sf_dir)
 
     def branch(period: str | None, layers: dict[str, str]) -> DataFrame:
         cells = ", ".join(f"named_struct('layer', '{n}', 'value', cast({e} as float))" for n, e in layers.items())

@@ -133,7 +133,7 @@ def pixel_table(
         sentinels.rows,
         sentinels.path,
     )
-    watersheds = Settled(pairs.table.select("huc8").distinct(), pairs.rows, pairs.path)
+    watersheds = Settled(pairs.table.select("huc8"), pairs.rows, pairs.path)
 
     own = attach(
         cells.filter(F.col("layer").isin(*PERIOD_LAYERS) & F.col("return_period").isNotNull()),

@@ -91,21 +91,40 @@ def exact_n(
     here = attach(
         keyed.select(*group_cols, "_digest", *_renamed(keys)), bounds, group_cols
     ).filter((F.col("need") > 0) & (F.col("_cut") == prefix(length)))
-    in_order = Window.partitionBy(*group_cols).orderBy("_digest", *_key_names(keys))
+    in_order = Window.partitionBy(*group_cols, "_cut").orderBy("_digest", *_key_names(keys))
     nth = (
         here.withColumn("rank", F.row_number().over(in_order))
         .filter("rank = need")
         .select(*group_cols, F.struct("_digest", *_key_names(keys)).alias("_last"))
     )
     ends = bounds.table.join(nth, group_cols, "left").select(*group_cols, "_cut", "_last")
+    place = F.struct("_digest", *[F.col(k).alias(n) for k, n in zip(keys, _key_names(keys))])
+    if not groups:
+        return keyed.withColumn("picked", _picked(place, *_as_literals(ends))).select(
+            *rows.columns, "picked"
+        )
     # One row per group at most, so a bounded number of groups may stay part of the final plan.
     last = Settled(ends, bounds.rows, bounds.path) if bounds.broadcastable else settle(ends)
-    place = F.struct("_digest", *[F.col(k).alias(n) for k, n in zip(keys, _key_names(keys))])
-    chosen = F.when(F.col("_last").isNull(), F.col("_digest") < F.col("_cut")).otherwise(
-        place <= F.col("_last")
+    flagged = attach(keyed, last, group_cols)
+    return flagged.withColumn("picked", _picked(place, F.col("_cut"), F.col("_last"))).select(
+        *rows.columns, "picked"
     )
-    flagged = attach(keyed, last, group_cols).withColumn("picked", chosen)
-    return flagged.select(*rows.columns, "picked")
+
+
+def _picked(place: Column, cut: Column, last: Column) -> Column:
+    return F.when(last.isNull(), F.col("_digest") < cut).otherwise(place <= last)
+
+
+def _as_literals(ends: DataFrame) -> tuple[Column, Column]:
+    """The single edge of an ungrouped draw as constants, so that the draw is a plain filter."""
+    edge = ends.first()
+    kind = ends.schema["_last"].dataType
+    if edge is None:  # no rows at all
+        return F.lit(""), F.lit(None).cast(kind)
+    if edge["_last"] is None:
+        return F.lit(edge["_cut"]), F.lit(None).cast(kind)
+    parts = [F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(edge["_last"], kind)]
+    return F.lit(edge["_cut"]), F.struct(*parts)
 
 
 def _key_names(keys: Sequence[str]) -> list[str]:
