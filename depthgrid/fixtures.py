@@ -45,6 +45,11 @@ def spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
 
 
+def spread_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, shared out likewise, for the path tables that grow from every row."""
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey")
+
+
 def raw_pixels(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Wide pixels with sentinels still in place, and a formula prediction."""
     values = {"owp_hand_fim": _OWP, "flood_depth": _FLOOD, **_SHARED, "predicted": _PREDICTED}
@@ -72,10 +77,10 @@ def clean_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_aspect(masked.drop(*[f"mean_{c}" for c in SHARED_LAYERS])).na.drop()
 
 
-def depth_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def depth_pixels(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Masked and zero-filled rows of the few columns most reports need."""
     sentinel = F.lit(SENTINEL)
-    narrow = raw_pixels(spark, sf_dir).select(
+    narrow = raw_pixels(spark, sf_dir, lines).select(
         *PAIR, "pixel_id", "owp_hand_fim", "flood_depth", "predicted"
     )
     return mask_baseline(narrow, sentinel).withColumn(
@@ -169,7 +174,7 @@ def order_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raster file paths, one watershed per customer and one baseline raster per order."""
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread_orders(spark, sf_dir).selectExpr(
         "concat('H', cast(o_custkey as string)) as h",
         "concat(cast(o_orderkey as string), 'yr') as p",
         "o_orderkey as k", "o_custkey as c",
@@ -196,7 +201,7 @@ def benchmark_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = ", ".join(
         f"concat('{layer}_', d, '.tif')" for layer in ("flood_depth", "aspect", "curvature", "dem", "lulc")
     )
-    return table(spark, sf_dir, "orders").selectExpr(
+    return spread_orders(spark, sf_dir).selectExpr(
         "o_orderkey as k", "concat('d', cast(o_orderkey as string)) as d"
     ).selectExpr(
         f"""explode(filter(transform(array(concat('owp_hand_fim', d, '.tif'), {dated},

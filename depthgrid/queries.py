@@ -193,7 +193,8 @@ def nan_audit(spark, sf):
 
 
 def _depths(spark, sf) -> DataFrame:
-    return fx.depth_pixels(spark, sf).select(*PAIR, *KEYS, TARGET)
+    rows = fx.depth_pixels(spark, sf, fx.spread_lines(spark, sf))
+    return rows.select(*PAIR, *KEYS, TARGET)
 
 
 def balance_classes(spark, sf):
@@ -201,7 +202,8 @@ def balance_classes(spark, sf):
 
 
 def depth_strata(spark, sf):
-    return strata.depth_strata(balance_classes(spark, sf))
+    # Stored, as in the pipeline: strata and splits read the balanced rows several times.
+    return strata.depth_strata(settle(balance_classes(spark, sf)).table)
 
 
 def drop_rare_strata(spark, sf):
@@ -209,8 +211,7 @@ def drop_rare_strata(spark, sf):
 
 
 def stratified_split(spark, sf):
-    balanced = settle(balance_classes(spark, sf)).table
-    return strata.stratified_split(strata.depth_strata(balanced), KEYS)
+    return strata.stratified_split(depth_strata(spark, sf), KEYS)
 
 
 def random_split(spark, sf):
@@ -294,7 +295,7 @@ def pr_vs_threshold(spark, sf):
 
 
 def hexbin_density(spark, sf):
-    rows = fx.depth_pixels(spark, sf).filter(v.deeper_than(F.col(TARGET), 0.01))
+    rows = fx.depth_pixels(spark, sf, fx.spread_lines(spark, sf)).filter(v.deeper_than(F.col(TARGET), 0.01))
     return _rounded(density.hexbin_density(rows, "predicted", TARGET, PAIR))
 
 
