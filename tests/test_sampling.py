@@ -156,6 +156,8 @@ def test_attach_paths_agree(spark, pixels, monkeypatch, broadcast_rows, how):
 
 
 def test_no_window_without_partition_and_no_python(spark, pixels):
-    rows = sampling.balance_classes(spark.createDataFrame(pixels), ["row", "col"])
-    plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert "PythonUDF" not in plan and "ArrowEval" not in plan
+    frame = spark.createDataFrame(pixels)
+    for rows in (sampling.balance_classes(frame, ["row", "col"]), sampling.random_split(frame, ["row", "col"])):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "PythonUDF" not in plan and "ArrowEval" not in plan
+        assert "SinglePartition" not in plan and "NestedLoopJoin" not in plan
