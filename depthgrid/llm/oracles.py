@@ -31,6 +31,37 @@ ORACLES: dict[str, str] = {
                  / 4503599627370496.0 < rate - floor(rate) then 1 else 0 end))::bigint as taken
         from sized join rates on sized.source is not distinct from rates.source
     """,
+    "op7_minhash_dedup": """
+        with recursive worded as (
+          select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x20\\x09-\\x0D]+') as w
+          from documents),
+        shingle as (
+          select distinct doc_id, s from (
+            select doc_id, unnest(case when len(w) >= 5
+                     then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+                     when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+            from worded)),
+        size as (select doc_id, count(*) as n from shingle group by doc_id),
+        shared as (
+          select a.doc_id as a, b.doc_id as b, count(*) as k
+          from shingle a join shingle b on a.s = b.s and a.doc_id < b.doc_id group by all),
+        link as (
+          select a, b from shared join size x on x.doc_id = a join size y on y.doc_id = b
+          where 100 * k >= 75 * (x.n + y.n - k)),
+        edge as (select a as u, b as v from link union all select b, a from link),
+        reach as (
+          select doc_id as root, doc_id as node from documents
+          union
+          select reach.root, edge.v from reach join edge on edge.u = reach.node
+          where edge.v > reach.root)
+        select d.doc_id, coalesce(size.n, 0) as n_shingles, min(reach.root) as component_id,
+               d.doc_id = min(reach.root) as kept
+        from documents d left join size on size.doc_id = d.doc_id
+        join reach on reach.node = d.doc_id
+        group by d.doc_id, size.n
+    """,
     "op8_exact_dedup": """
         with n as (
           select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -41,4 +72,26 @@ ORACLES: dict[str, str] = {
                sha256(n.t) as text_sha256
         from n join g on n.t = g.t
     """,
+    "op10_decontaminate": """
+        with worded as (
+          select true as is_item, item_id as id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x20\\x09-\\x0D]+') as w from benchmark
+          union all
+          select false, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x20\\x09-\\x0D]+') from documents),
+        shingle as (
+          select distinct is_item, id, s from (
+            select is_item, id, unnest(case when len(w) >= 5
+                     then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+                     when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+            from worded)),
+        item as (select id, count(*) as n from shingle where is_item group by id),
+        shared as (
+          select d.id as doc_id, i.id as item_id, count(*) as k
+          from shingle d join shingle i on d.s = i.s and i.is_item and not d.is_item group by all)
+        select doc_id, item_id, n as n_item, k as n_shared, k / n::double as containment
+        from shared join item on item.id = item_id where 100 * k >= 75 * n
+    """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthgrid.llm import exact_dedup, mixing
+from depthgrid.llm import decontaminate, exact_dedup, mixing, near_dedup, token_count, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_count(spark, sf_dir):
+    import public_tokenizers
+
+    counted = token_count.count_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("__score").alias("score"),
+        (F.col("__score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_mix_sources(spark, sf_dir):
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return plan.select(
@@ -23,6 +44,10 @@ def op5_mix_sources(spark, sf_dir):
     )
 
 
+def op7_minhash_dedup(spark, sf_dir):
+    return near_dedup.link_components(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     found = exact_dedup.exact_groups(
         table(spark, sf_dir, "documents"), carry=exact_dedup.full_digest(F.col("text"))
@@ -32,7 +57,17 @@ def op8_exact_dedup(spark, sf_dir):
     )
 
 
+def op10_decontaminate(spark, sf_dir):
+    return decontaminate.contained_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op3_token_count": op3_token_count,
+    "op4_toxicity": op4_toxicity,
     "op5_mix_sources": op5_mix_sources,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }

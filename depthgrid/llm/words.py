@@ -76,10 +76,10 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         begin = end
 
 
-def _block_words(data, fixed, begin, end):
-    """Start, end and hash of the words in data[begin:end]; no word crosses its borders."""
+def _block_words(data, fixed, begin, end, separator, prefixes):
+    """Start, end and hashes of the words in data[begin:end]; no word crosses its borders."""
     part = data[begin:end]
-    word = ~_SEPARATOR[part]
+    word = ~separator[part]
     first = word.copy()
     first[1:] &= ~word[:-1]
     last = word.copy()
@@ -94,38 +94,45 @@ def _block_words(data, fixed, begin, end):
     )
     total = np.zeros(size + 1, _U64)
     np.cumsum(_BYTE_VALUE[part] * up[:size], out=total[1:])
-    hashes = (total[ends] - total[starts]) * down[starts]
-    return starts + begin, ends + begin, mix(hashes)
+    out = [starts + begin, ends + begin, mix((total[ends] - total[starts]) * down[starts])]
+    for k in prefixes:
+        upto = np.minimum(starts + k, ends)
+        out.append(mix((total[upto] - total[starts]) * down[starts] + _U64(k)))
+    return out
 
 
-def word_hashes(column: pa.Array):
-    """(starts, ends, hashes, bounds): words of all rows; row i has words bounds[i]:bounds[i+1]."""
+def word_hashes(column: pa.Array, separator: np.ndarray = _SEPARATOR, prefixes: tuple = ()):
+    """(starts, ends, hashes, bounds): words of all rows; row i has words bounds[i]:bounds[i+1].
+
+    ``separator`` tells for each byte whether it parts words. For each length in ``prefixes``
+    one more array follows, the hashes of the words' first so many bytes.
+    """
     data, offsets = text_bytes(column)
     fixed = np.unique(offsets)
     parts, begin = [], 0
     while begin < len(data):
         end = min(begin + BLOCK_BYTES, len(data))
         if end < len(data):
-            gaps = np.flatnonzero(_SEPARATOR[data[begin:end]])
+            gaps = np.flatnonzero(separator[data[begin:end]])
             row = fixed[(fixed > begin) & (fixed <= end)]
             cut = max(begin + int(gaps[-1]) + 1 if len(gaps) else 0, int(row[-1]) if len(row) else 0)
             while cut <= begin:  # one word longer than a block
-                more = np.flatnonzero(_SEPARATOR[data[end : end + BLOCK_BYTES]])
+                more = np.flatnonzero(separator[data[end : end + BLOCK_BYTES]])
                 row = fixed[fixed > end]
                 stop = min(end + BLOCK_BYTES, len(data))
                 found = [end + int(more[0]) + 1] if len(more) else []
                 found += [int(row[0])] if len(row) and row[0] <= stop else []
                 cut, end = (min(found) if found else len(data) if stop == len(data) else 0), stop
             end = cut
-        parts.append(_block_words(data, fixed, begin, end))
+        parts.append(_block_words(data, fixed, begin, end, separator, prefixes))
         begin = end
     if parts:
-        starts, ends, hashes = (np.concatenate(x) for x in zip(*parts))
+        starts, ends, *hashes = (np.concatenate(x) for x in zip(*parts))
     else:
         starts = ends = np.zeros(0, np.int64)
-        hashes = np.zeros(0, _U64)
+        hashes = [np.zeros(0, _U64)] * (1 + len(prefixes))
     bounds = np.searchsorted(starts, offsets)
-    return starts, ends, hashes, bounds
+    return starts, ends, hashes[0], bounds, *hashes[1:]
 
 
 def shingles(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
