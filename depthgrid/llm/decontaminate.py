@@ -183,4 +183,4 @@ def contained_items(
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that hold an item; rows with a null id stay."""
     held = contained_items(docs, items, id_col)
-    return anti_by_id(docs, stored(held.select(id_col).distinct()), id_col)
+    return anti_by_id(docs, stored(held.select(id_col).distinct(), docs.count()), id_col)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depthgrid.llm.shared import bitmap, mark, stored
+from depthgrid.llm.shared import BITMAP_BITS, bitmap, mark, stored
 
 PREFIX_CHARS = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,7 +44,7 @@ def _refined(docs: DataFrame, id_col: str, text_col: str, carry: Column) -> Data
     narrow = docs.select(length.alias("__len"), head.alias("__head"))
     by_length = _repeated(narrow, ["__len"])
     by_head = _repeated(narrow.join(by_length, "__len", "left_semi"), ["__len", "__head"])
-    bits = stored(bitmap(by_head, ["__len", "__head"]))
+    bits = stored(bitmap(by_head, ["__len", "__head"]), BITMAP_BITS // 64)
     rows = docs.select(
         F.col(id_col).alias("__id"), carry.alias("__carry"), text.alias("__text"),
         length.alias("__len"), head.alias("__head"),

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from depthgrid.llm import words
 from depthgrid.llm.components import components
-from depthgrid.llm.shared import anti_by_id, semi_by_id, stored
+from depthgrid.llm.shared import anti_by_id, counted, semi_by_id, stored
 
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
@@ -138,16 +138,17 @@ def link_components(
         raise ValueError("the bands are laid out for 75 per cent or more")
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     kind = source.schema["__id"].dataType.simpleString()
-    rows = stored(
+    rows, n_rows = counted(
         source.mapInArrow(
             _sketches, f"__id {kind}, __n bigint, __key binary, __buckets array<bigint>"
         )
     )
     # 2. one representative per distinct set
-    classes = stored(
+    classes, n_classes = counted(
         rows.filter("__key is not null and __id is not null")
         .groupBy("__key")
-        .agg(F.min("__id").alias("rep"), F.first("__n").alias("n"), F.first("__buckets").alias("__buckets"))
+        .agg(F.min("__id").alias("rep"), F.first("__n").alias("n"), F.first("__buckets").alias("__buckets")),
+        n_rows,
     )
     # 3. buckets with at least two classes
     members = classes.select("rep", "n", F.explode("__buckets").alias("bucket"))
@@ -156,25 +157,26 @@ def link_components(
         .agg(F.min(F.struct("rep", "n")).alias("head"), F.count(F.lit(1)).alias("size"))
         .filter("size > 1")
     )
-    crowded = stored(
+    crowded, n_crowded = counted(
         members.join(heads, "bucket").select(
             "bucket", "rep", "n", "size", F.col("head.rep").alias("a"), F.col("head.n").alias("an")
-        )
+        ),
+        n_classes * BANDS,
     )
     # 4. stars around the smallest id, confirmed on full sets
     stars = crowded.filter((F.col("rep") != F.col("a")) & _fits("n", "an", percent))
-    edges = stored(stars.select("a", F.col("rep").alias("b")).distinct())
+    edges, n_edges = counted(stars.select("a", F.col("rep").alias("b")).distinct(), n_crowded)
     ids = edges.select(F.col("a").alias("__id")).union(edges.select("b"))
     open_buckets = crowded.filter("size > 2")
-    ids = stored(ids.union(open_buckets.select("rep")).distinct())
+    ids = stored(ids.union(open_buckets.select("rep")).distinct(), n_classes)
     texts = semi_by_id(source, ids, "__id").groupBy("__id").agg(F.min("__text").alias("__text"))
     sets = stored(shingle_table(texts))
-    links = stored(_confirmed(edges, sets, percent))
-    labels = stored(components(links))
+    links, n_links = counted(_confirmed(edges, sets, percent), n_edges)
+    labels = stored(components(links, at_most=n_links), 2 * n_links)
     # 5. buckets that hold several components
     checked = edges
     for turn in range(1, STAR_ROUNDS + 2):
-        left = stored(_mixed(open_buckets, labels))
+        left, n_left = counted(_mixed(open_buckets, labels), n_crowded)
         rest = left.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(
             F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk")
         ).agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()
@@ -183,11 +185,12 @@ def link_components(
         last = turn > STAR_ROUNDS or rest[1] <= REST_PER_ROW * rest[0]
         pairs = _cross_pairs(left) if last else _cross_stars(left, turn)
         fresh = pairs.filter(_fits("an", "bn", percent)).select("a", "b").distinct()
-        fresh = stored(fresh.join(checked, ["a", "b"], "left_anti"))
-        found = stored(_confirmed(fresh, sets, percent))
-        if found.count():
-            links = links.union(found)
-            labels = stored(components(links))
+        fresh = fresh.join(checked, ["a", "b"], "left_anti")
+        fresh, n_fresh = counted(fresh, int(rest[1]) if last else n_left)
+        found, n_found = counted(_confirmed(fresh, sets, percent), n_fresh)
+        if n_found:
+            links, n_links = links.union(found), n_links + n_found
+            labels = stored(components(links, at_most=n_links), 2 * n_links)
         if last:
             break
         checked = checked.union(fresh)
@@ -245,5 +248,5 @@ def _cross_pairs(mixed: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id."""
     found = link_components(docs, id_col, text_col)
-    dropped = stored(found.filter("not kept").select(id_col).distinct())
+    dropped = stored(found.filter("not kept").select(id_col).distinct(), docs.count())
     return anti_by_id(docs, dropped, id_col)

@@ -18,9 +18,25 @@ BITMAP_BITS = 1 << 24
 BROADCAST_ROWS = 200_000
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write to the cluster's shared folder and read back: lineage ends, nothing is recomputed."""
-    return settle(df).table
+#: Rows of narrow tables that go into one file at least.
+ROWS_PER_FILE = 100_000
+
+
+def stored(df: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Write to the cluster's shared folder and read back: lineage ends, nothing is recomputed.
+
+    ``at_most`` is a known bound of the rows; a small table then isn't scattered over one tiny
+    file for each shuffle partition.
+    """
+    return counted(df, at_most)[0]
+
+
+def counted(df: DataFrame, at_most: int | None = None) -> tuple[DataFrame, int]:
+    """``stored`` with the number of rows."""
+    if at_most is not None:
+        df = df.coalesce(max(1, -(-at_most // ROWS_PER_FILE)))
+    done = settle(df)
+    return done.table, done.rows
 
 
 def _slot(keys: Sequence[Column | str]) -> Column:
@@ -62,13 +78,14 @@ def mark(rows: DataFrame, bits: DataFrame, keys: Sequence[Column | str], name: s
 
 def semi_by_id(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` is in the distinct ids; only rows that pass the bitmap are shuffled."""
-    maybe = mark(rows, bitmap(ids, [key]), [key], "__maybe").filter("__maybe").drop("__maybe")
+    bits = stored(bitmap(ids, [key]), BITMAP_BITS // 64)
+    maybe = mark(rows, bits, [key], "__maybe").filter("__maybe").drop("__maybe")
     return maybe.join(ids, key, "left_semi")
 
 
 def anti_by_id(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` is not in the ids (a null key stays), few of them shuffled."""
-    marked = mark(rows, bitmap(ids, [key]), [key], "__maybe")
+    marked = mark(rows, stored(bitmap(ids, [key]), BITMAP_BITS // 64), [key], "__maybe")
     sure = marked.filter("not __maybe").drop("__maybe")
     rest = marked.filter("__maybe").drop("__maybe").join(ids, key, "left_anti")
     return sure.unionByName(rest.select(*sure.columns))
