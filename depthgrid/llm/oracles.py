@@ -31,6 +31,24 @@ ORACLES: dict[str, str] = {
                  / 4503599627370496.0 < rate - floor(rate) then 1 else 0 end))::bigint as taken
         from sized join rates on sized.source is not distinct from rates.source
     """,
+    "op6_suffix_dedup": """
+        with worded as (
+          select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x20\\x09-\\x0D]+') as w
+          from documents where doc_id is not null),
+        place as (
+          select doc_id, w, unnest(range(0, len(w) - 49)) as i from worded where len(w) >= 50),
+        win as (select doc_id, i, md5(array_to_string(w[i + 1:i + 50], ' ')) as h from place),
+        again as (select h from win group by h having count(distinct doc_id) > 1),
+        hit as (select doc_id, i, lag(i) over (partition by doc_id order by i) as p
+                from win where h in (select h from again)),
+        span as (select doc_id, i, sum(case when p is null or i > p + 50 then 1 else 0 end)
+                   over (partition by doc_id order by i) as g from hit)
+        select doc_id, min(i)::int as start_word, (max(i) + 50)::int as end_word,
+               (max(i) + 50 - min(i))::int as n_words
+        from span group by doc_id, g
+    """,
     "op7_minhash_dedup": """
         with recursive worded as (
           select doc_id, regexp_extract_all(translate(coalesce(text, ''),

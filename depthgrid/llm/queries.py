@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthgrid.llm import decontaminate, exact_dedup, mixing, near_dedup, token_count, toxicity
+from depthgrid.llm import decontaminate, exact_dedup, mixing, near_dedup, pii, suffix_dedup, token_count, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,11 @@ def op5_mix_sources(spark, sf_dir):
     )
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    spans = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "start_word", "end_word", "n_words")
+
+
 def op7_minhash_dedup(spark, sf_dir):
     return near_dedup.link_components(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,11 @@ def op8_exact_dedup(spark, sf_dir):
     )
 
 
+def op9_personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.fit(docs))
+
+
 def op10_decontaminate(spark, sf_dir):
     return decontaminate.contained_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -67,7 +77,9 @@ QUERIES: dict[str, Query] = {
     "op3_token_count": op3_token_count,
     "op4_toxicity": op4_toxicity,
     "op5_mix_sources": op5_mix_sources,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_personal_data": op9_personal_data,
     "op10_decontaminate": op10_decontaminate,
 }
