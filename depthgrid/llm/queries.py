@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthgrid.llm import decontaminate, exact_dedup, mixing, near_dedup, pii, suffix_dedup, token_count, toxicity
+from depthgrid.llm import (
+    decontaminate,
+    exact_dedup,
+    main_text,
+    mixing,
+    near_dedup,
+    pii,
+    suffix_dedup,
+    token_count,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark, sf_dir):
+    folder = warc.archive_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, with_payload=False).select(
+        F.col("record_key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op2_main_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = main_text.main_texts(pages, main_text.fit(pages), text_col="text")
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op3_token_count(spark, sf_dir):
     import public_tokenizers
 
@@ -74,6 +99,8 @@ def op10_decontaminate(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
+    "op2_main_text": op2_main_text,
     "op3_token_count": op3_token_count,
     "op4_toxicity": op4_toxicity,
     "op5_mix_sources": op5_mix_sources,
