@@ -10,10 +10,12 @@ Steps, all on narrow rows:
    misses every common bucket with probability about 5e-6, at 0.85 with about 6e-11.
 4. Each bucket gives a star, (smallest id, member), so a bucket of n members gives n - 1 edges.
    Edges are confirmed on the full sets.
-5. Confirmed edges give components. Buckets whose members are in different components hold pairs
-   that no star compared. They get further stars around other members; once the pairs left over
-   are no more than a few per bucket row, all of those are compared. No link found in a bucket is
-   lost, and pairs inside a component are never expanded.
+5. Confirmed edges give components. What no star compared are pairs in one bucket but in different
+   components. The buckets that still hold several components are joined into groups, a group's
+   sets are dealt into blocks of bounded size by set size, and every two blocks whose sizes allow
+   a link are compared in one task, by exact intersections. A block pair returns a spanning
+   forest of its links, so rows never grow with the square of a group, and no link found in a
+   bucket is lost. Pairs inside a component are not expanded.
 
 Defined cases: a null or empty text has no shingles and no links; a text of one to four words
 has one shingle, the whole sequence; a row with a null id gets its set size, a null component and
@@ -25,10 +27,12 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +43,8 @@ from depthgrid.llm.shared import anti_by_id, counted, semi_by_id, stored
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
 PROBES = 512
-#: Rounds of further stars before what is left is compared in full, and the size of that rest.
-STAR_ROUNDS = 4
-REST_PER_ROW = 4
+#: Members and shingles of a block, and columns of its incidence matrix that are held at once.
+BLOCK_SETS, BLOCK_SHINGLES, COLUMNS = 256, 1 << 18, 1 << 13
 
 _U64 = np.uint64
 _EDGES = np.arange(BINS, dtype=_U64) << _U64(64 - BINS.bit_length() + 1)
@@ -173,27 +176,11 @@ def link_components(
     sets = stored(shingle_table(texts))
     links, n_links = counted(_confirmed(edges, sets, percent), n_edges)
     labels = stored(components(links, at_most=n_links), 2 * n_links)
-    # 5. buckets that hold several components
-    checked = edges
-    for turn in range(1, STAR_ROUNDS + 2):
-        left, n_left = counted(_mixed(open_buckets, labels), n_crowded)
-        rest = left.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(
-            F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk")
-        ).agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()
-        if not rest[0]:
-            break
-        last = turn > STAR_ROUNDS or rest[1] <= REST_PER_ROW * rest[0]
-        pairs = _cross_pairs(left) if last else _cross_stars(left, turn)
-        fresh = pairs.filter(_fits("an", "bn", percent)).select("a", "b").distinct()
-        fresh = fresh.join(checked, ["a", "b"], "left_anti")
-        fresh, n_fresh = counted(fresh, int(rest[1]) if last else n_left)
-        found, n_found = counted(_confirmed(fresh, sets, percent), n_fresh)
-        if n_found:
-            links, n_links = links.union(found), n_links + n_found
-            labels = stored(components(links, at_most=n_links), 2 * n_links)
-        if last:
-            break
-        checked = checked.union(fresh)
+    # 5. what the stars left over
+    found, n_found = counted(_rest(open_buckets, labels, sets, n_crowded, percent), n_crowded)
+    if n_found:
+        links, n_links = links.union(found), n_links + n_found
+        labels = stored(components(links, at_most=n_links), 2 * n_links)
     groups = (
         classes.select("__key", "rep")
         .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -211,38 +198,100 @@ def link_components(
     )
 
 
-def _mixed(crowded: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, rep, n, label) of the buckets whose members have more than one label."""
-    named = crowded.select("bucket", "rep", "n").join(
+def _rest(
+    buckets: DataFrame, labels: DataFrame, sets: DataFrame, at_most: int, percent: int
+) -> DataFrame:
+    """Links (a, b) between different components that share a bucket."""
+    named = buckets.select("bucket", "rep", "n", "a").join(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
-    ).select("bucket", "rep", "n", F.coalesce("label", "rep").alias("label"))
+    ).withColumn("label", F.coalesce("label", "rep"))
     several = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    return named.join(several.filter("x <> y").select("bucket"), "bucket", "left_semi")
-
-
-def _ordered(a: str, an: str, b: str, bn: str) -> list:
-    low = F.col(a) < F.col(b)
-    return [
-        F.when(low, F.col(a)).otherwise(F.col(b)).alias("a"),
-        F.when(low, F.col(an)).otherwise(F.col(bn)).alias("an"),
-        F.when(low, F.col(b)).otherwise(F.col(a)).alias("b"),
-        F.when(low, F.col(bn)).otherwise(F.col(an)).alias("bn"),
-    ]
-
-
-def _cross_stars(mixed: DataFrame, turn: int) -> DataFrame:
-    """Stars around another member of each bucket, to the members with other labels."""
-    order = F.struct(F.xxhash64(F.lit(turn), F.col("rep")), F.col("rep"), F.col("n"), F.col("label"))
-    centre = mixed.groupBy("bucket").agg(F.min(order).alias("c")).select(
-        "bucket", F.col("c.rep").alias("c"), F.col("c.n").alias("cn"), F.col("c.label").alias("cl")
+    mixed = stored(named.join(several.filter("x <> y").select("bucket"), "bucket", "left_semi"), at_most)
+    edges, n_edges = counted(mixed.select("a", F.col("rep").alias("b")).distinct(), at_most)
+    groups = components(edges, at_most=n_edges).select(
+        F.col("node").alias("rep"), F.col("label").alias("group")
     )
-    return mixed.join(centre, "bucket").filter("label <> cl").select(*_ordered("c", "cn", "rep", "n"))
-
-
-def _cross_pairs(mixed: DataFrame) -> DataFrame:
-    """Every pair of different labels in a bucket: what the stars left over."""
-    other = mixed.select("bucket", F.col("rep").alias("r2"), F.col("n").alias("n2"), F.col("label").alias("l2"))
-    return mixed.join(other, "bucket").filter("label < l2").select(*_ordered("rep", "n", "r2", "n2"))
+    # Classes of sizes half as wide as a link allows: linked sets are at most two classes apart.
+    step = math.log(100 / percent) / 2
+    member = (
+        mixed.select("rep", "n", "label").distinct().join(groups, "rep")
+        .withColumn("class", F.floor(F.log("n") / step))
+    )
+    fit = F.greatest(F.lit(1), F.least(F.lit(BLOCK_SETS), F.floor(BLOCK_SHINGLES / F.max("n"))))
+    counts = member.groupBy("group", "class").agg(
+        F.ceil(F.count(F.lit(1)) / fit).cast("long").alias("blocks")
+    )
+    member = stored(
+        member.join(counts, ["group", "class"])
+        .withColumn("block", F.struct("class", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("no")))
+        .select("rep", "n", "label", "group", "block"),
+        at_most,
+    )
+    blocks = member.groupBy("group", F.col("block").alias("other")).agg(F.count(F.lit(1)).alias("k"))
+    near = F.abs(F.col("block.class") - F.col("other.class")) <= 2
+    # A set goes to each pair of its block and another: group size / block size copies of it.
+    dealt = member.join(blocks.drop("k"), "group").filter(near).select(
+        "group", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+        (F.col("block") > F.col("other")).alias("second"), F.col("rep").alias("__id"), "label",
+    )
+    whole = dealt.join(sets, "__id")
+    kind = sets.schema["__id"].dataType.simpleString()
+    return whole.groupBy("group", "x", "y").applyInArrow(_block_links(percent), f"a {kind}, b {kind}")
+
+
+def _shared(values: np.ndarray, owner: np.ndarray, size: int, first: np.ndarray, second: np.ndarray):
+    """Sizes of the intersections of the ``first`` with the ``second`` of ``size`` sets."""
+    _, column, count = np.unique(values, return_inverse=True, return_counts=True)
+    often = count > 1
+    number = np.cumsum(often) - 1
+    use = often[column]
+    column, owner = number[column[use]], owner[use]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(first), len(second)), np.float32)
+    for begin in range(0, int(often.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, [begin, begin + COLUMNS])
+        dense = np.zeros((size, COLUMNS), np.float32)
+        dense[owner[lo:hi], column[lo:hi] - begin] = 1
+        out += dense[first] @ dense[second].T
+    return out.astype(np.int64)
+
+
+def _block_links(percent: int):
+    """Compare two blocks (or one with itself) and return a spanning forest of new links."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, sets = table.column("__id"), table.column("__set").combine_chunks()
+        label, second = table.column("label").to_pylist(), table.column("second").to_numpy()
+        values, sizes = sets.flatten().to_numpy(), pa.compute.list_value_length(sets).to_numpy()
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        first, other = np.flatnonzero(~second), np.flatnonzero(second)
+        if not len(other) or not len(first):
+            first = other = np.arange(len(sizes))
+            alone = table.column("x")[0].as_py() == table.column("y")[0].as_py()
+            if not alone:
+                return table.select(["__id", "__id"]).rename_columns(["a", "b"]).slice(0, 0)
+        shared = _shared(values, owner, len(sizes), first, other)
+        union = sizes[first][:, None] + sizes[other][None, :] - shared
+        tree: dict = {}
+
+        def root(x):
+            while x in tree:
+                x = tree[x]
+            return x
+
+        kept = []
+        for i, j in zip(*np.nonzero((shared * 100 >= union * percent) & (shared > 0))):
+            i, j = first[i], other[j]
+            x, y = root(label[i]), root(label[j])
+            if x != y:
+                tree[x] = y
+                kept.append((i, j))
+        chosen = np.array(kept, np.int64).reshape(-1, 2)
+        return pa.table({"a": ids.take(pa.array(chosen[:, 0])), "b": ids.take(pa.array(chosen[:, 1]))})
+
+    return run
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

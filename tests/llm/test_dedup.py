@@ -99,15 +99,16 @@ def test_near_components_match_all_pairs(spark):
     check_near(spark, near_rows())
 
 
-def test_star_rounds_lose_no_link(spark, monkeypatch):
-    """With one bucket for everything, the rounds after the stars have to find the links."""
+def test_the_rest_loses_no_link(spark, monkeypatch):
+    """With one bucket for everything, the blocks after the stars have to find the links."""
     import numpy as np
 
     monkeypatch.setattr(near_dedup, "band_keys", lambda s: np.zeros(1, np.uint64))
-    check_near(spark, near_rows()[:40])
-    monkeypatch.setattr(near_dedup, "REST_PER_ROW", 0)
-    monkeypatch.setattr(near_dedup, "STAR_ROUNDS", 2)
-    check_near(spark, near_rows()[:25])
+    check_near(spark, near_rows())
+    monkeypatch.setattr(near_dedup, "BLOCK_SETS", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 600)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 64)
+    check_near(spark, near_rows())
 
 
 def test_near_null_ids_repeats_and_other_columns(spark):
