@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 #: Characters of a chunk, chunks composed by one task in the second step.
 CHUNK, FAN = 1 << 16, 256
-#: Bounds of a worker's tables, which are emptied when full.
-STATES, WORDS, KEPT_WORD = 100_000, 300_000, 64
+#: Bounds of a worker's tables: states, words of each generation, characters of a kept word.
+STATES, WORDS, KEPT_WORD = 150_000, 300_000, 64
 
 _SPACE = regex.compile("[ \t\n\r]")
 
@@ -171,17 +171,21 @@ class TokenCounter:
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, self.marks)))
         self.symbols = dict(enumerate(byte_symbols()))
+        # Counts of words, in two generations: a word used since the last change stays known.
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def _word(self, word: str) -> int:
-        if len(self.known) >= WORDS:
-            self.known.clear()
-        if not (word.isascii() and word.isprintable()):
-            symbols = word.encode("utf-8").decode("latin-1").translate(self.symbols)
-        else:
-            symbols = word
-        found = self.machine.count(symbols)
+        found = self.older.get(word)
+        if found is None:
+            if not (word.isascii() and word.isprintable()):
+                found = self.machine.count(word.encode("utf-8").decode("latin-1").translate(self.symbols))
+            else:
+                found = self.machine.count(word)
         if len(word) <= KEPT_WORD:
+            if len(self.known) >= WORDS:
+                self.older = dict(self.known)
+                self.known.clear()
             self.known[word] = found
         return found
 
@@ -192,9 +196,9 @@ class TokenCounter:
             text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
         else:
             text = text.lower()
-        total, known = 0, self.known
+        total, known = 0, self.known.get
         for word in self.splitter.findall(text):
-            found = known.get(word)
+            found = known(word)
             total += self._word(word) if found is None else found
         return total
 
