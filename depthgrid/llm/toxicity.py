@@ -7,8 +7,9 @@ bucket and the inner products of all pairs of present buckets' factors, so a pai
 count where neither does alone.
 
 Fitting reads labelled rows outside the held-out fold, at most SAMPLE_ROWS of them (those of the
-smallest md5 of the id; a documented bound), keeps the FEATURES buckets of largest chi-square
-among them and runs AdaGrad on the bounded table of their presence. Labels, language, source and
+smallest md5 of the id, each distinct text once; a documented bound), keeps at most FEATURES
+buckets, those of largest chi-square among them, and runs AdaGrad on the bounded table of their
+presence. Labels, language, source and
 id are no inputs of a score. Scoring is one pass over every whole text without a shuffle.
 
 Defined cases: a null or empty text has no terms and its score is the sigmoid of the bias;
@@ -32,8 +33,8 @@ from depthgrid.llm.shared import stored
 
 #: Bound of the labelled rows that are fitted, of the buckets kept and of the hash space.
 SAMPLE_ROWS, FEATURES, BUCKETS = 20_000, 4_096, 1 << 20
-#: A bucket needs this many labelled texts.
-LEAST_TEXTS = 8
+#: A bucket needs this many labelled texts and this chi-square, which chance rarely gives to one.
+LEAST_TEXTS, LEAST_CHI = 8, 20.0
 FACTORS, EPOCHS, BATCH, STEP, DECAY, SEED = 8, 12, 256, 0.1, 1e-4, 7
 FOLDS = 5
 PREFIXES = (4, 5)
@@ -154,10 +155,11 @@ def fit(
     known = marked.join(texts.select("__id").distinct(), "__id", "left_semi")
     order = F.md5(F.concat(F.lit("toxicity:"), F.col("__id").cast("string")))
     sample = stored(known.orderBy(order, "__id").limit(sample_rows))
-    # The sample's size is bounded, so it is broadcast. A repeated id gives its largest text.
+    # The sample's size is bounded, so it is broadcast. Copies would make their chance words
+    # look telling, so a text counts once, with its largest label.
     rows = stored(
         texts.join(F.broadcast(sample), "__id")
-        .groupBy("__id", "__label").agg(F.max("__text").alias("__text"))
+        .groupBy(F.lower("__text")).agg(F.max("__label").alias("__label"), F.max("__text").alias("__text"))
         .select("__label", "__text")
         .mapInArrow(_bucket_lists, "__label int, __buckets array<int>")
         .withColumn("__row", F.monotonically_increasing_id())
@@ -168,11 +170,12 @@ def fit(
         return Model(np.zeros(0, np.int16), 0.0, np.zeros(0), np.zeros((0, FACTORS)))
     both, hits = F.col("both"), F.col("hits")
     gap = hits - both * F.lit(p / n)
-    chi = gap * gap / (both * (F.lit(float(n)) - both) + 1)
+    spread = both * (F.lit(float(n)) - both) * F.lit(p / n * (1 - p / n))
+    chi = gap * gap * F.lit(float(n - 1)) / spread
     best = (
         rows.select("__label", F.explode("__buckets").alias("bucket"))
         .groupBy("bucket").agg(F.count(F.lit(1)).alias("both"), F.sum("__label").alias("hits"))
-        .filter(both >= LEAST_TEXTS).orderBy(chi.desc(), "bucket").limit(FEATURES)
+        .filter((both >= LEAST_TEXTS) & (both < n) & (chi >= LEAST_CHI)).orderBy(chi.desc(), "bucket").limit(FEATURES)
         .select("bucket").toArrow().column(0).to_numpy()
     )
     place = np.full(BUCKETS, -1, np.int16)

@@ -119,7 +119,9 @@ class _Roller:
             self.shard, self.bytes, self.records = shard, 0, 0
             self.name = f"shard-{shard:08d}-{self.roll:04d}.warc.gz"
             self.digest = hashlib.sha256()
-            self.stream = self.system.open_output_stream(f"{self.base}/{self.attempt}/{self.name}")
+            self.stream = self.system.open_output_stream(
+                f"{self.base}/{self.attempt}/{self.name}", compression=None  # not by the name
+            )
         self.stream.write(member)
         self.digest.update(member)
         self.bytes += len(member)
