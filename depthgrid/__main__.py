@@ -27,7 +27,7 @@ def _parser() -> argparse.ArgumentParser:
 
     step("prepare", "cells", "layers", "output", log=False).add_argument("--test_size", type=float, default=0.3)
     step("prepare-benchmark", "cells", "layers", "output", log=False)
-    step("describe", "input", "target", log=False)
+    step("describe", "input", "target", "output", log=False)
     for name in ("train", "train-search"):
         fit = step(name, "input", "output", "config")
         fit.add_argument("--target", default=TARGET)
@@ -37,6 +37,8 @@ def _parser() -> argparse.ArgumentParser:
     step("evaluate", "model", "benchmark", "output").add_argument("--target", default=TARGET)
     for name in ("metrics", "classify", "density"):
         report = step(name, "input", "output", log=False)
+        if name == "metrics":
+            report.add_argument("--strict", action="store_true", help="drop rows with any missing column first")
         report.add_argument("--unlog_truth", action="store_true")
         report.add_argument("--unlog_prediction", action="store_true")
         if name == "density":
@@ -49,9 +51,15 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _store(table, output: str) -> None:
+    """Write a report whole and say where it is; nothing is only printed."""
+    table.write.parquet(output)
+    print(f"written: {output}")
+
+
 def _write_panels(panels: evaluate.DensityPanels, output: str) -> None:
     for name in ("metrics", "hexagons", "line"):
-        getattr(panels, name).write.parquet(f"{output}/{name}")
+        _store(getattr(panels, name), f"{output}/{name}")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -60,13 +68,15 @@ def main(argv: list[str] | None = None) -> None:
     if args.step in ("prepare", "prepare-benchmark"):
         cells, layers = tables.load_cells(spark, args.cells), tables.load_layers(spark, args.layers)
         if args.step == "prepare":
-            prepare.prepare(cells, layers, args.output, test_share=args.test_size).show(truncate=False)
+            prepared = prepare.prepare(cells, layers, args.output, test_share=args.test_size)
+            _store(prepared.counts, f"{args.output}/counts")
+            _store(prepared.skipped, f"{args.output}/skipped")
         else:
             prepare.prepare_benchmarks(cells, layers, args.output)
     elif args.step == "describe":
         rows = spark.read.parquet(args.input)
-        table_shape(rows).show()
-        describe_numeric(rows, args.target).show(100, truncate=False)
+        _store(table_shape(rows), f"{args.output}/shape")
+        _store(describe_numeric(rows, args.target), f"{args.output}/columns")
     elif args.step in ("train", "train-search"):
         rows, config = spark.read.parquet(args.input), load_config(args.config)
         options = {"keys": (*PAIR, *PIXEL), "target": args.target, "log_target": args.log_target}
@@ -74,8 +84,8 @@ def main(argv: list[str] | None = None) -> None:
             trained = train.train(rows, config, **options)
         else:
             trained = train.train_with_search(rows, config, sample_share=args.sample_frac, **options)
-        trained.report.show(truncate=False)
         trained.model.save(spark, args.output)
+        _store(trained.report, f"{args.output}/report")
     elif args.step == "predict":
         model = BoostedModel.load(spark, args.model)
         evaluate.predict(spark, model, args.input, args.output, args.log_target)
@@ -84,8 +94,9 @@ def main(argv: list[str] | None = None) -> None:
         metrics, average = evaluate.evaluate_benchmarks(
             spark, model, args.benchmark, args.output, args.target, args.log_target
         )
-        metrics.show(1000, truncate=False)
-        average.show(truncate=False)
+        print(f"written: {args.output}")
+        _store(average, f"{args.output}-average")
+        _store(metrics, f"{args.output}-table")
     elif args.step == "density-benchmark":
         model = BoostedModel.load(spark, args.model) if args.model else None
         panels = evaluate.benchmark_density_report(

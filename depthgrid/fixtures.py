@@ -13,7 +13,6 @@ from depthgrid.functions.values import zero_fill
 from depthgrid.operators.align import derive_aspect, mask_baseline
 from depthgrid.operators.settle import attach, settle
 from depthgrid.schema import PAIR, PERIOD_LAYERS, SHARED_LAYERS
-from depthgrid.session import spread
 
 SENTINEL = -9999.0
 KEYS = ("pixel_id",)
@@ -40,16 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items for work of several passes: a small file is shared out over the cores first."""
-    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
-
-
-def spread_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders, shared out likewise, for the path tables that grow from every row."""
-    return spread(table(spark, sf_dir, "orders"), "o_orderkey")
-
-
 def raw_pixels(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Wide pixels with sentinels still in place, and a formula prediction."""
     values = {"owp_hand_fim": _OWP, "flood_depth": _FLOOD, **_SHARED, "predicted": _PREDICTED}
@@ -64,7 +53,7 @@ def raw_pixels(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None)
 
 def clean_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked, zero-filled, imputed and derived: the wide counterpart of the pixel table."""
-    raw = raw_pixels(spark, sf_dir, spread_lines(spark, sf_dir))
+    raw = raw_pixels(spark, sf_dir, table(spark, sf_dir, "lineitem"))
     sentinel = F.lit(SENTINEL)
     valid = {c: F.when(F.col(c) != SENTINEL, F.col(c)) for c in SHARED_LAYERS}
     means = settle(raw.groupBy(*PAIR).agg(*[F.avg(v).alias(f"mean_{c}") for c, v in valid.items()]))
@@ -100,7 +89,7 @@ def raster_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     Shared layers and periods are separate branches, as they are separate folders of a stored
     cell table, so a filter on the period skips the others.
     """
-    lines = spread_lines(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem")
 
     def branch(period: str | None, layers: dict[str, str]) -> DataFrame:
         cells = ", ".join(f"named_struct('layer', '{n}', 'value', cast({e} as float))" for n, e in layers.items())
@@ -174,7 +163,7 @@ def order_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raster file paths, one watershed per customer and one baseline raster per order."""
-    return spread_orders(spark, sf_dir).selectExpr(
+    return table(spark, sf_dir, "orders").selectExpr(
         "concat('H', cast(o_custkey as string)) as h",
         "concat(cast(o_orderkey as string), 'yr') as p",
         "o_orderkey as k", "o_custkey as c",
@@ -201,7 +190,7 @@ def benchmark_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = ", ".join(
         f"concat('{layer}_', d, '.tif')" for layer in ("flood_depth", "aspect", "curvature", "dem", "lulc")
     )
-    return spread_orders(spark, sf_dir).selectExpr(
+    return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey as k", "concat('d', cast(o_orderkey as string)) as d"
     ).selectExpr(
         f"""explode(filter(transform(array(concat('owp_hand_fim', d, '.tif'), {dated},

@@ -79,9 +79,14 @@ def non_finite_to_zero(value: Column) -> Column:
     return _replace_non_finite(value, 0.0, 0.0)
 
 
-def non_finite_to_limits(value: Column, limit: float = FLOAT64_MAX) -> Column:
-    """NaN to 0 and infinities to the largest finite value of the input's width."""
-    return _replace_non_finite(value, limit, -limit)
+def non_finite_to_limits(value: Column) -> Column:
+    """NaN to 0 and infinities to the largest finite value of the input's width.
+
+    The width is the column's own type, which decides while the plan is made.
+    """
+    narrow = F.typeof(value) == "float"
+    high = F.when(narrow, F.lit(FLOAT32_MAX)).otherwise(F.lit(FLOAT64_MAX))
+    return _replace_non_finite(value, high, -high)
 
 
 def deeper_than(value: Column, depth: float) -> Column:

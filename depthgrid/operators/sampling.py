@@ -1,7 +1,8 @@
 """Exact-count, repeatable sampling: class balance, splits, fraction samples, shuffles.
 
-A row's place in its group is the md5 of seed and row key, so a draw depends neither on the
-partitioning nor on the order of rows. Taking exactly ``n`` of a group means finding the
+A row's place in its group is the md5 of seed, purpose and row key, so a draw depends neither on
+the partitioning nor on the order of rows, and draws for different purposes are independent of
+each other: what balancing kept says nothing about what a split then takes. Taking exactly ``n`` of a group means finding the
 n-th smallest digest. That is done by narrowing a digest prefix from counts per prefix
 (map-side combined, at most 4,096 per group and step) until the prefix that holds the n-th
 row is small; only those few rows are ranked. No group is ever sorted whole.
@@ -22,8 +23,9 @@ RANK_LIMIT = 200_000
 _EVERYTHING = "~"  # sorts after every hex digit
 
 
-def digest(keys: Sequence[str], seed: int = SEED) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+def digest(keys: Sequence[str], purpose: str, seed: int = SEED) -> Column:
+    label = F.lit(f"{seed}:{purpose}")
+    return F.md5(F.concat_ws(":", label, *[F.col(k).cast("string") for k in keys]))
 
 
 def _cut_prefix(counts: DataFrame, groups: list[str]) -> DataFrame:
@@ -47,18 +49,20 @@ def exact_n(
     groups: Sequence[str],
     quota: Callable[[DataFrame], DataFrame],
     keys: Sequence[str],
+    purpose: str,
     seed: int = SEED,
     rank_limit: int = RANK_LIMIT,
 ) -> DataFrame:
     """Flag exactly ``take`` rows of each group as ``picked``.
 
     ``quota`` maps a table ``(*groups, total)`` to ``(*groups, total, take)``; rows of groups
-    it leaves out are dropped. ``keys`` must identify a row. ``rows`` is scanned three times
+    it leaves out are dropped. ``keys`` must identify a row; where a draw's last place is held by
+    two rows of one key, which cannot be told apart, the job fails. ``rows`` is scanned three times
     (more only for groups over ``4096 * rank_limit`` rows), so settle an expensive input.
     """
     group_cols = list(groups) or ["_all"]
     keyed = rows if groups else rows.withColumn("_all", F.lit(0))
-    keyed = keyed.withColumn("_digest", digest(keys, seed))
+    keyed = keyed.withColumn("_digest", digest(keys, purpose, seed))
 
     def prefix(length: int) -> Column:
         return F.substring("_digest", 1, length)
@@ -94,8 +98,10 @@ def exact_n(
     in_order = Window.partitionBy(*group_cols, "_cut").orderBy("_digest", *_key_names(keys))
     nth = (
         here.withColumn("rank", F.row_number().over(in_order))
+        .withColumn("_place", F.struct("_digest", *_key_names(keys)))
+        .withColumn("_next", F.lead("_place").over(in_order))
         .filter("rank = need")
-        .select(*group_cols, F.struct("_digest", *_key_names(keys)).alias("_last"))
+        .select(*group_cols, _single(F.col("_place"), F.col("_next")).alias("_last"))
     )
     ends = bounds.table.join(nth, group_cols, "left").select(*group_cols, "_cut", "_last")
     place = F.struct("_digest", *[F.col(k).alias(n) for k, n in zip(keys, _key_names(keys))])
@@ -104,13 +110,18 @@ def exact_n(
             *rows.columns, "picked"
         )
     # One row per group at most, so a bounded number of groups may stay part of the final plan.
-    last = Settled(ends, bounds.rows, bounds.path) if bounds.broadcastable else settle(ends)
+    last = Settled(ends, bounds.rows, bounds.path, bounds.width) if bounds.broadcastable else settle(ends)
     flagged = attach(keyed, last, group_cols)
     return flagged.withColumn("picked", _picked(place, F.col("_cut"), F.col("_last"))).select(
         *rows.columns, "picked"
     )
 
 
+def _single(place: Column, following: Column) -> Column:
+    repeated = F.raise_error(F.lit("the keys of an exact draw do not identify its rows"))
+    return F.when(place.eqNullSafe(following), repeated.cast("void")).otherwise(place)
+
+
 def _picked(place: Column, cut: Column, last: Column) -> Column:
     return F.when(last.isNull(), F.col("_digest") < cut).otherwise(place <= last)
 
@@ -197,7 +208,7 @@ def balance_classes(
 ) -> DataFrame:
     """One zero-depth row for each nonzero row in every pair that has both."""
     classed = rows.withColumn("depth_class", depth_class(target))
-    chosen = exact_n(classed, [*pair, "depth_class"], balance_quota(pair), keys, seed)
+    chosen = exact_n(classed, [*pair, "depth_class"], balance_quota(pair), keys, "balance", seed)
     return chosen.filter("picked").drop("picked", "depth_class")
 
 
@@ -209,7 +220,7 @@ def random_split(
     def quota(totals: DataFrame) -> DataFrame:
         return totals.withColumn("take", F.ceil(F.lit(fraction) * F.col("total")))
 
-    flagged = exact_n(rows, [], quota, keys, seed)
+    flagged = exact_n(rows, [], quota, keys, "validation", seed)
     return flagged.withColumn("split", F.when(F.col("picked"), "validation").otherwise("train")).drop(
         "picked"
     )
@@ -227,14 +238,14 @@ def fraction_sample(
     def quota(totals: DataFrame) -> DataFrame:
         return totals.withColumn("take", F.rint(F.lit(fraction) * F.col("total")))
 
-    return exact_n(rows, groups, quota, keys, seed).filter("picked").drop("picked")
+    return exact_n(rows, groups, quota, keys, "sample", seed).filter("picked").drop("picked")
 
 
 def shuffle_rows(
     rows: DataFrame, keys: Sequence[str], partitions: int | None = None, seed: int = SEED
 ) -> DataFrame:
     """Rows in digest order inside partitions filled by digest: a shuffle without a global sort."""
-    mixed = rows.withColumn("_digest", digest(keys, seed))
+    mixed = rows.withColumn("_digest", digest(keys, "shuffle", seed))
     by = [F.col("_digest")]
     mixed = mixed.repartition(partitions, *by) if partitions else mixed.repartition(*by)
     return mixed.sortWithinPartitions("_digest").drop("_digest")

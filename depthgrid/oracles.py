@@ -71,12 +71,16 @@ flood as (select h, concat('fim_', p, '_m_final.tif') name from keyed where c %
 pairs as (select h huc8, p return_period, name owp_file, concat('data/', h, '/owp_hand_fim/', name) owp_path
   from owp where name like '%.tif' and h in (select h from flood))"""
 
-DIGEST = f"md5(concat('{SEED}:', pixel_id))"
+
+
+def _digest(purpose: str) -> str:
+    return f"md5(concat('{SEED}:{purpose}:', pixel_id))"
+
 
 BALANCED = f"""{DEPTH}, classed as (select huc8, return_period, pixel_id, flood_depth,
   count(*) filter (flood_depth = 0) over (partition by huc8, return_period) zeros,
   count(*) filter (flood_depth > 0) over (partition by huc8, return_period) nonzeros,
-  row_number() over (partition by huc8, return_period, flood_depth = 0 order by {DIGEST}, pixel_id) place from depth),
+  row_number() over (partition by huc8, return_period, flood_depth = 0 order by {_digest('balance')}, pixel_id) place from depth),
 balanced as (select huc8, return_period, pixel_id, flood_depth from classed
   where least(zeros, nonzeros) = 0 or place <= least(zeros, nonzeros))"""
 
@@ -95,7 +99,7 @@ quota as (select huc8, return_period, stratum, c - whole
   - (case when row_number() over (partition by huc8, return_period order by rest desc, stratum)
      <= train - sum(whole) over (partition by huc8, return_period) then 1 else 0 end) take from shares)"""
 
-RANDOM = f"""{DEPTH}, placed as (select *, row_number() over (order by {DIGEST}, pixel_id) place, count(*) over () n from depth),
+RANDOM = f"""{DEPTH}, placed as (select *, row_number() over (order by {_digest('validation')}, pixel_id) place, count(*) over () n from depth),
 halves as (select huc8, return_period, pixel_id, owp_hand_fim, flood_depth, predicted,
   case when place <= ceil(0.2::double * n) then 'validation' else 'train' end split from placed)"""
 
@@ -176,7 +180,76 @@ hexes as (select huc8, return_period, x0, y0, sx, sy, case when first_lattice th
 
 BETWEEN = "between 0 and case lattice when 1 then {0} else {0} - 1 end"
 
+HEX_BASELINE = HEX.replace("predicted x, flood_depth y from depth where flood_depth > 0.01", "owp_hand_fim x, flood_depth y from depth where flood_depth > 0")
+
+
+def _hexagons(hexes: str) -> str:
+    return f"""with {hexes} select huc8, return_period, lattice, ix, iy,
+      {_r('any_value(x0) + (ix + case lattice when 2 then 0.5 else 0 end) * any_value(sx)')} center_x,
+      {_r('any_value(y0) + (iy + case lattice when 2 then 0.5 else 0 end) * any_value(sy)')} center_y, count(*) n
+      from hexes where ix {BETWEEN.format(50)} and iy {BETWEEN.format(28)} group by huc8, return_period, lattice, ix, iy"""
+
+
+# The pixel table's depths in place of the wide fixture's, in float32 as they are stored.
+PREPARED_SPLIT = SPLIT.replace(DEPTH, f"""{CELLS}, depth as (select huc8, return_period, pixel_id, owp_hand_fim,
+  (case when flood_depth = -9999 then 0 else flood_depth end)::float::double flood_depth
+  from wide where owp_hand_fim <> -9999)""")
+
+
+def _stump(name: str, log_link: bool, rate: str, l2: str, l1: str, limit: str | None, gamma: str) -> str:
+    """One Newton step on lulc: base score, best cut by weighted variance, penalised leaf weights."""
+    power = "1.3::double"
+    g = f"exp((2 - {power}) * f) - y * exp((1 - {power}) * f)" if log_link else "f - y"
+    h = f"({power} - 1) * y * exp((1 - {power}) * f) + (2 - {power}) * exp((2 - {power}) * f)" if log_link else "1.0::double"
+
+    def weight(a: str, b: str) -> str:
+        w = f"(-sign({a}) * greatest(abs({a}) - {l1}, 0) / ({b} + {l2}))"
+        return f"greatest(-{limit}, least({limit}, {w}))" if limit else w
+
+    def gain(a: str, b: str) -> str:
+        w = weight(a, b)
+        return f"-(2 * {a} * {w} + ({b} + {l2}) * {w} * {w} + 2 * {l1} * abs({w}))"
+
+    link = "exp({0})" if log_link else "({0})"
+    return f"""{name}_rows as (select c.*, least(flood_depth, 25.01::double) y,
+    row_number() over (order by {_digest('validation')}, pixel_id) > ceil(0.2::double * count(*) over ()) training from clean c),
+{name}_base as (select {'ln(avg(y))' if log_link else 'avg(y)'} f from {name}_rows where training),
+{name}_sums as (select lulc, sum({g}) g, sum({h}) h from {name}_rows, {name}_base where training group by lulc),
+{name}_cuts as (select a.lulc cut, sum(b.g) filter (b.lulc <= a.lulc) gl, sum(b.h) filter (b.lulc <= a.lulc) hl,
+    sum(b.g) filter (b.lulc > a.lulc) gr, sum(b.h) filter (b.lulc > a.lulc) hr from {name}_sums a, {name}_sums b group by a.lulc),
+{name}_best as (select * from {name}_cuts where hr is not null order by gl * gl / hl + gr * gr / hr desc limit 1),
+{name}_leaf as (select cut, {gain('gl', 'hl')} + {gain('gr', 'hr')} - ({gain('(gl + gr)', '(hl + hr)')}) < {gamma} undone,
+    {weight('gl', 'hl')} wl, {weight('gr', 'hr')} wr, {weight('(gl + gr)', '(hl + hr)')} w from {name}_best),
+{name} as (select r.*, {link.format(f"f + {rate} * case when undone then w when lulc <= cut then wl else wr end")} estimate
+  from {name}_rows r, {name}_base, {name}_leaf)"""
+
+
+_SQUARED_STUMP = _stump("squared", False, "0.1::double", "1.0::double", "0.0::double", None, "0.0::double")
+_TWEEDIE_STUMP = _stump("tweedie", True, "0.5::double", "3.0::double", "1.0::double", "1.0::double", "1.0::double")
+
+
+def _stump_scores(name: str, ctes: str) -> str:
+    return f"""with {CLEAN}, {ctes} select huc8, return_period, lulc, count(*) n,
+      {_r('min(estimate)')} lowest, {_r('max(estimate)')} highest from {name} group by huc8, return_period, lulc"""
+
+
+def _stump_errors(name: str) -> str:
+    error = "(y - estimate) * (y - estimate)"
+    return f"""select '{name}' objective, 1::int as round, {_r(f'sqrt(avg({error}) filter (training))')} train_rmse,
+      {_r(f'sqrt(avg({error}) filter (not training))')} validation_rmse from {name}"""
+
+
 ORACLES: dict[str, str] = {
+    "boost_stump_squared": _stump_scores("squared", _SQUARED_STUMP),
+    "boost_stump_tweedie": _stump_scores("tweedie", _TWEEDIE_STUMP),
+    "boost_stump_history": f"with {CLEAN}, {_SQUARED_STUMP}, {_TWEEDIE_STUMP} {_stump_errors('squared')} union all {_stump_errors('tweedie')}",
+    "prepare_tables": f"""with {PREPARED_SPLIT}, sided as (select *,
+        row_number() over (partition by huc8, return_period, stratum order by {_digest('split')}, pixel_id) <= take test
+        from common join quota using (huc8, return_period, stratum))
+      select huc8, return_period, count(*) filter (not test) train_rows, count(*) filter (test) test_rows,
+        {_r('sum(flood_depth) filter (not test)', 2)} train_depth, {_r('sum(flood_depth) filter (test)', 2)} test_depth
+      from sided group by huc8, return_period""",
+    "density_baseline": _hexagons(HEX_BASELINE),
     "pair_discovery": f"with {PATHS} select * from pairs",
     "period_from_name": f"""with {PATHS} select concat('data/', h, '/owp_hand_fim/', name) path,
       replace(replace(name, concat('_', h, '_depth.tif'), ''), '.tif', '') return_period from owp
@@ -244,11 +317,11 @@ ORACLES: dict[str, str] = {
     "depth_strata": f"with {STRATA} select * from strata",
     "drop_rare_strata": f"with {STRATA} select * from common",
     "stratified_split": f"""with {SPLIT} select huc8, return_period, pixel_id, flood_depth, stratum,
-      case when row_number() over (partition by huc8, return_period, stratum order by {DIGEST}, pixel_id) <= take
+      case when row_number() over (partition by huc8, return_period, stratum order by {_digest('split')}, pixel_id) <= take
         then 'test' else 'train' end split from common join quota using (huc8, return_period, stratum)""",
     "random_split": f"with {RANDOM} select huc8, return_period, pixel_id, flood_depth, split from halves",
     "fraction_sample": f"""with {RANDOM}, o as (select huc8, return_period, pixel_id, flood_depth, split,
-      row_number() over (partition by split order by {DIGEST}, pixel_id) place, count(*) over (partition by split) n from halves)
+      row_number() over (partition by split order by {_digest('sample')}, pixel_id) place, count(*) over (partition by split) n from halves)
       select huc8, return_period, pixel_id, flood_depth, split from o where place <= round_even(0.1::double * n, 0)""",
     "shuffle_rows": f"with {DEPTH} select huc8, return_period, pixel_id, flood_depth from depth",
     "regression_report": f"""with {RANDOM}, capped as (select split, least(flood_depth, 25.01::double) flood_depth, predicted from halves)
@@ -281,10 +354,7 @@ ORACLES: dict[str, str] = {
       select {_r('sum(step * height / 2)')} pr_auc, (count(*) - 1)::bigint thresholds from steps""",
     "pr_vs_threshold": f"""with {CURVE} select {_r('threshold', 8)} threshold, {_r('prec', 8)} as "precision", {_r('recall', 8)} recall
       from points where points.threshold between 0 and 1""",
-    "hexbin_density": f"""with {HEX} select huc8, return_period, lattice, ix, iy,
-      {_r('any_value(x0) + (ix + case lattice when 2 then 0.5 else 0 end) * any_value(sx)')} center_x,
-      {_r('any_value(y0) + (iy + case lattice when 2 then 0.5 else 0 end) * any_value(sy)')} center_y, count(*) n
-      from hexes where ix {BETWEEN.format(50)} and iy {BETWEEN.format(28)} group by huc8, return_period, lattice, ix, iy""",
+    "hexbin_density": _hexagons(HEX),
     "ols_line": f"""with {DEPTH}, fit as (select huc8, return_period, regr_slope(flood_depth, predicted) slope, regr_intercept(flood_depth, predicted) base,
       min(predicted) low, max(predicted) high from depth where flood_depth > 0.01 group by all)
       select huc8, return_period, point::int point, {_r('low + point * (high - low) / 99')} x,
@@ -292,3 +362,10 @@ ORACLES: dict[str, str] = {
     "union_pairs": f"""with {RAW} select huc8, return_period, pixel_id, owp_hand_fim, flood_depth, predicted from raw
       union all select concat('EVT_', event_type), 'live', event_id::varchar, value / 12.0::double, value / 10.0::double, null from events""",
 }
+
+ORACLES["benchmark_report"] = ORACLES["benchmark_metrics"]
+ORACLES["scored_report"] = ORACLES["metrics_by_group"]
+ORACLES["skipped_pairs"] = f"""select huc8, return_period, 'no depth raster' reason
+    from ({ORACLES['flood_file_match']}) where flood_path is null
+  union all select concat('H', o_custkey), concat(o_orderkey, 'yr'), 'layers missing or of different shape' from orders
+    where not (o_orderkey % 11 <> 0 and o_custkey % 13 <> 0 and o_custkey % 17 <> 0)"""

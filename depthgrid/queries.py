@@ -11,13 +11,16 @@ from pyspark.sql import types as T
 from depthgrid import fixtures as fx
 from depthgrid.functions import values as v
 from depthgrid.functions.names import file_name, parent_folder, period_of
-from depthgrid.models.boosting import fit_boosted, fit_plain_squared
+from depthgrid.models.boosting import BoostedModel, fit_boosted, fit_plain_squared
 from depthgrid.models.params import SQUARED_CONFIG, TWEEDIE_CONFIG, BoostParams
 from depthgrid.models.search import hyper_search
 from depthgrid.operators import align, classify, density, describe, regression, sampling, strata
 from depthgrid.operators.settle import settle
+from depthgrid.plans import evaluate, prepare
 from depthgrid.schema import FEATURES, PAIR, TARGET, feature_columns
 from depthgrid.sources import catalog
+from depthgrid.session import fresh_path
+from depthgrid.sources import tables
 from depthgrid.sources.tables import as_cells
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,7 +196,7 @@ def nan_audit(spark, sf):
 
 
 def _depths(spark, sf) -> DataFrame:
-    rows = fx.depth_pixels(spark, sf, fx.spread_lines(spark, sf))
+    rows = fx.depth_pixels(spark, sf, fx.table(spark, sf, "lineitem"))
     return rows.select(*PAIR, *KEYS, TARGET)
 
 
@@ -295,7 +298,7 @@ def pr_vs_threshold(spark, sf):
 
 
 def hexbin_density(spark, sf):
-    rows = fx.depth_pixels(spark, sf, fx.spread_lines(spark, sf)).filter(v.deeper_than(F.col(TARGET), 0.01))
+    rows = fx.depth_pixels(spark, sf, fx.table(spark, sf, "lineitem")).filter(v.deeper_than(F.col(TARGET), 0.01))
     return _rounded(density.hexbin_density(rows, "predicted", TARGET, PAIR))
 
 
@@ -360,6 +363,94 @@ def hyper_search_query(spark, sf):
     return log
 
 
+#: One regularised Newton step: small enough for SQL to compute in closed form.
+STUMP = {
+    "n_estimators": 1, "max_depth": 1, "subsample": 1.0, "colsample_bytree": 1.0, "early_stopping_rounds": None,
+}
+
+
+def _stump(spark, sf, config) -> tuple[DataFrame, BoostedModel]:
+    rows = training_rows(spark, sf)
+    params = BoostParams.from_config(config, **STUMP)
+    return rows, fit_boosted(rows, ["lulc"], params, KEYS)
+
+
+def _stump_scores(spark, sf, config) -> DataFrame:
+    """Model saved and loaded, test sets written by pair, scored, written and read back."""
+    rows, model = _stump(spark, sf, config)
+    folder = fresh_path(spark)
+    model.save(spark, f"{folder}/model")
+    tables.write_test_sets(rows.drop("label", "split"), f"{folder}/test")
+    loaded = BoostedModel.load(spark, f"{folder}/model")
+    evaluate.predict(spark, loaded, f"{folder}/test", f"{folder}/scored")
+    scored = tables.load_pixels(spark, f"{folder}/scored")
+    return _rounded(
+        scored.groupBy(*PAIR, "lulc").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("predicted").alias("lowest"),
+            F.max("predicted").alias("highest"),
+        )
+    )
+
+
+def boost_stump_squared(spark, sf):
+    return _stump_scores(spark, sf, SQUARED_CONFIG)
+
+
+def boost_stump_tweedie(spark, sf):
+    return _stump_scores(spark, sf, TWEEDIE_CONFIG)
+
+
+def boost_stump_history(spark, sf):
+    parts = [
+        _stump(spark, sf, config)[1].history_table(spark).withColumn("objective", F.lit(name))
+        for name, config in (("squared", SQUARED_CONFIG), ("tweedie", TWEEDIE_CONFIG))
+    ]
+    return _rounded(parts[0].unionByName(parts[1]))
+
+
+# ---------------------------------------------------------------- whole jobs, stored and read back
+
+
+def prepare_tables(spark, sf):
+    folder = fresh_path(spark)
+    prepare.prepare(fx.raster_cells(spark, sf), fx.raster_layers(spark, sf), folder, KEYS)
+    test, train = tables.load_pixels(spark, f"{folder}/test"), spark.read.parquet(f"{folder}/train")
+    both = test.withColumn("side", F.lit("test")).unionByName(train.withColumn("side", F.lit("train")))
+    depth = F.col(TARGET).cast("double")
+    return both.groupBy(*PAIR).agg(
+        F.count_if(F.col("side") == "train").alias("train_rows"),
+        F.count_if(F.col("side") == "test").alias("test_rows"),
+        F.round(F.sum(F.when(F.col("side") == "train", depth)), 2).alias("train_depth"),
+        F.round(F.sum(F.when(F.col("side") == "test", depth)), 2).alias("test_depth"),
+    )
+
+
+def skipped_pairs(spark, sf):
+    matches = settle(catalog.flood_file_match(fx.order_paths(spark, sf))).table
+    return prepare.skipped_before_cells(fx.order_layers(spark, sf), matches)
+
+
+def benchmark_report(spark, sf):
+    """Benchmark folders written and read, metrics written as CSV and read."""
+    folder = fresh_path(spark)
+    tables.write_benchmark_sets(settle(fx.benchmark_pixels(spark, sf)).table, f"{folder}/sets")
+    metrics = regression.benchmark_metrics(tables.load_benchmarks(spark, f"{folder}/sets"))
+    tables.write_metrics_csv(metrics, f"{folder}/csv")
+    return _rounded(spark.read.schema(metrics.schema).option("header", True).csv(f"{folder}/csv"))
+
+
+def scored_report(spark, sf):
+    """Scored pixels written by pair, read back and reported on."""
+    folder = fresh_path(spark)
+    tables.write_scored(settle(fx.depth_pixels(spark, sf)).table, folder)
+    return _rounded(evaluate.metrics_report(tables.load_pixels(spark, folder)))
+
+
+def density_baseline(spark, sf):
+    return _rounded(evaluate.density_report(fx.depth_pixels(spark, sf), baseline=True).hexagons)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -373,6 +464,8 @@ QUERIES: dict[str, Query] = {
         describe_numeric, table_shape, confusion_matrix, confusion_at_best_f1, pr_curve,
         best_f1_threshold, pr_auc, pr_vs_threshold, hexbin_density, ols_line, union_pairs,
         boost_squared, boost_tweedie, boost_history, score_testset,
+        boost_stump_squared, boost_stump_tweedie, boost_stump_history,
+        prepare_tables, skipped_pairs, benchmark_report, scored_report, density_baseline,
     )
 }
 QUERIES["hyper_search"] = hyper_search_query

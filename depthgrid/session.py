@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -15,6 +16,7 @@ def build_session(app: str = "depthgrid", master: str | None = None, **conf: str
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
@@ -30,7 +32,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):  # not local-cluster[...]
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="depthgrid-")
     context.setCheckpointDir(folder)
@@ -40,15 +42,3 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession) -> str:
     """An unused path for one settled table, under the application's own sub-folder."""
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-
-
-def spread(table: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of a scan that comes in fewer splits than there are cores.
-
-    Only a small table does (a split holds a bounded number of bytes); a scan with a split or
-    more per core is returned as it is, without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, *keys)

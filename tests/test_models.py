@@ -127,3 +127,50 @@ def test_hyper_search_and_final_parameters(rows):
 def test_unknown_parameter_is_refused():
     with pytest.raises(ValueError, match="unknown"):
         BoostParams.from_config({"booster": "dart"})
+
+
+def test_gamma_prunes_from_the_bottom():
+    shape = boosting.tree_shape(
+        "Tree\n  If (feature 0 <= 0.5)\n   If (feature 1 <= 0.1)\n    Predict: 1.0\n   Else (feature 1 > 0.1)\n"
+        "    Predict: 2.0\n  Else (feature 0 > 0.5)\n   Predict: 3.0\n"
+    )
+    assert shape == ((0, 1), 2) and boosting.tree_leaves(shape) == 3
+    assert boosting.tree_shape("Tree\n  Predict: 1.0\n") == 0
+    sums = {0: (-10.0, 10.0), 1: (-11.0, 10.0), 2: (30.0, 10.0)}
+
+    def groups(gamma, **changes):
+        return boosting.pruned_groups(shape, sums, params(SQUARED_CONFIG, gamma=gamma, reg_lambda=0.0, **changes))
+
+    # Gains: 0.05 for the inner split, 21**2 / 20 + 30**2 / 10 - 9**2 / 30 = 109.35 for the root.
+    assert groups(0.04) == [[0], [1], [2]]
+    assert groups(0.06) == [[0, 1], [2]]
+    assert groups(109.3) == [[0, 1], [2]]
+    assert groups(109.4) == [[0, 1, 2]]
+
+
+def test_gamma_and_child_weight_reach_the_fit(rows):
+    free = boosting.fit_boosted(rows, FEATURES, params(SQUARED_CONFIG, n_estimators=1, max_depth=4), ["id"])
+    held = boosting.fit_boosted(rows, FEATURES, params(SQUARED_CONFIG, n_estimators=1, max_depth=4, gamma=60.0), ["id"])
+    none = boosting.fit_boosted(rows, FEATURES, params(SQUARED_CONFIG, n_estimators=1, max_depth=4, gamma=1e9), ["id"])
+    heavy = boosting.fit_boosted(rows, FEATURES, params(SQUARED_CONFIG, n_estimators=1, min_child_weight=1300), ["id"])
+    sizes = [len(set(m.leaf_weights[0])) for m in (free, held, none, heavy)]
+    assert sizes[0] > sizes[1] > sizes[2] == 1 and sizes[3] == 1
+
+
+def test_log_link_refuses_negative_labels(rows):
+    bad = rows.withColumn("label", F.when(F.col("id") == 1, -0.5).otherwise(F.col("label")))
+    with pytest.raises(ValueError, match="0 or more"):
+        boosting.fit_boosted(bad, FEATURES, params(TWEEDIE_CONFIG), ["id"])
+
+
+def test_missing_features_take_a_fixed_branch(rows):
+    model = boosting.fit_boosted(rows, FEATURES, params(SQUARED_CONFIG), ["id"])
+    odd = rows.limit(5).withColumn("a", F.lit(None).cast("double")).withColumn("b", F.lit(float("nan")))
+    high = rows.limit(5).withColumn("a", F.lit(1e9)).withColumn("b", F.lit(1e9))
+    got, want = ([r.predicted for r in model.score(x).orderBy("id").collect()] for x in (odd, high))
+    assert got == want
+
+
+def test_search_without_validation_rows_is_refused(rows):
+    with pytest.raises(ValueError, match="validation"):
+        search.hyper_search(rows.filter("split = 'train'"), FEATURES, SQUARED_CONFIG, ["id"], {"max_depth": (1, 2), "n_estimators": (1, 2)}, swarm=1, iterations=0)

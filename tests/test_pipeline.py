@@ -75,9 +75,9 @@ def pixels_by_hand(world, huc8, period):
     return frame[owp.ravel() != owp_nodata].dropna().sort_values(["row", "col"]).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
-def test_pixel_table_matches_dense_rules(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(settle_module, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**9])
+def test_pixel_table_matches_dense_rules(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(settle_module, "BROADCAST_BYTES", broadcast_bytes)
     world = make_world()
     got = align.pixel_table(*as_tables(spark, world)).toPandas()
     assert set(got.huc8) == {"01020304", "05060708"}
@@ -123,8 +123,9 @@ def test_prepare_train_predict_and_evaluate(spark, tmp_path):
     world = make_world(nan_sentinel_pair=False)
     cells, layers = as_tables(spark, world)
     out = str(tmp_path / "prepared")
-    counts = prepare.prepare(cells, layers, out).collect()
-    assert len(counts) == 4
+    prepared = prepare.prepare(cells, layers, out)
+    counts = prepared.counts.collect()
+    assert len(counts) == 4 and prepared.skipped.count() == 0
     tests = tables.load_pixels(spark, f"{out}/test")
     assert {r[0] for r in tests.select("huc8").distinct().collect()} == {"01020304", "05060708"}
     assert sum(r["test_rows"] for r in counts) == tests.count()
@@ -196,3 +197,42 @@ def test_benchmark_match_prefers_dated_slope(spark):
     slopes = got[got.layer == "slope"].set_index("benchmark").path.to_dict()
     assert slopes == {"2001": "b/2001/slope.tif", "2002": "b/2002/slope_2002.tif"}
     assert (got.groupby("benchmark").size() == 8).all()
+
+
+def test_skipped_pairs_have_a_reason(spark, tmp_path):
+    world = make_world(nan_sentinel_pair=False)
+    values, nodata = world["01020304", "10yr", "flood_depth"]
+    world["01020304", "10yr", "flood_depth"] = (values[:-1], nodata)
+    values, nodata = world["05060708", "10yr", "flood_depth"]
+    world["05060708", "10yr", "flood_depth"] = (np.full_like(values, np.inf), nodata)
+    values, nodata = world["05060708", "100yr", "owp_hand_fim"]
+    world["05060708", "100yr", "owp_hand_fim"] = (np.full_like(values, nodata), nodata)
+    matches = spark.createDataFrame(
+        [("01020304", "10yr", "a", None), ("01020304", "5yr", "b", None), ("01020304", "100yr", "c", "x")],
+        "huc8 string, return_period string, owp_file string, flood_path string",
+    )
+    done = prepare.prepare(*as_tables(spark, world), str(tmp_path / "out"), matches=matches)
+    got = {(r.huc8, r.return_period, r.reason) for r in done.skipped.collect()}
+    assert got == {
+        ("01020304", "5yr", prepare.NO_FILE), ("01020304", "10yr", prepare.NO_FILE),
+        ("01020304", "10yr", prepare.SHAPES), ("05060708", "10yr", prepare.INFINITE),
+        ("05060708", "100yr", prepare.NO_PIXEL),
+    }
+    assert [(r.huc8, r.return_period) for r in done.counts.collect()] == [("01020304", "100yr")]
+
+
+def test_sink_files_follow_the_rows_of_a_pair(spark, tmp_path):
+    """Many tasks that all hold rows of all pairs: files per pair stay near rows over file rows."""
+    rows = spark.range(40_000).selectExpr(
+        "cast(id % 10 = 0 as string) as huc8", "cast(id % 3 as string) as return_period", "id"
+    ).repartition(50)
+    tables.write_test_sets(rows, str(tmp_path / "sets"), file_rows=2_000)
+    files = {}
+    for folder, _, names in os.walk(tmp_path / "sets"):
+        parts = [n for n in names if n.endswith(".parquet")]
+        if parts:
+            files[os.path.relpath(folder, tmp_path / "sets")] = len(parts)
+    assert len(files) == 6
+    for pair, n in files.items():
+        assert n <= (2 * 6 if "huc8=false" in pair else 2 * 1), (pair, n)
+    assert tables.load_pixels(spark, str(tmp_path / "sets")).count() == 40_000

@@ -32,11 +32,10 @@ def pixels():
     )
 
 
-def place(row):
-    return hashlib.md5(f"42:{row['row']}:{row['col']}".encode()).hexdigest()
+def smallest(rows, n, purpose):
+    def place(row):
+        return hashlib.md5(f"42:{purpose}:{row['row']}:{row['col']}".encode()).hexdigest()
 
-
-def smallest(rows, n):
     return rows.assign(h=rows.apply(place, axis=1)).sort_values(["h", "row", "col"]).head(n).drop(columns="h")
 
 
@@ -46,7 +45,7 @@ def balanced_by_hand(pixels):
         zero, wet = group[group.flood_depth == 0], group[group.flood_depth > 0]
         if len(zero) and len(wet):
             n = min(len(zero), len(wet))
-            parts += [smallest(zero, n), smallest(wet, n)]
+            parts += [smallest(zero, n, "balance"), smallest(wet, n, "balance")]
         else:
             parts.append(group)
     return pd.concat(parts)
@@ -66,18 +65,18 @@ def test_balance_matches_hand_count(spark, pixels):
 
 
 @pytest.mark.parametrize("rank_limit", [1, 3, 10**6])
-@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
-def test_every_path_draws_the_same_rows(spark, pixels, monkeypatch, rank_limit, broadcast_rows):
-    monkeypatch.setattr(settle_module, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**9])
+def test_every_path_draws_the_same_rows(spark, pixels, monkeypatch, rank_limit, broadcast_bytes):
+    monkeypatch.setattr(settle_module, "BROADCAST_BYTES", broadcast_bytes)
     monkeypatch.setattr(sampling, "PREFIX_STEP", 1)
 
     def quota(totals):
         return totals.withColumn("take", F.ceil(F.col("total") * 0.37))
 
     got = sampling.exact_n(
-        spark.createDataFrame(pixels).repartition(5), PAIR, quota, ["row", "col"], rank_limit=rank_limit
+        spark.createDataFrame(pixels).repartition(5), PAIR, quota, ["row", "col"], "test", rank_limit=rank_limit
     ).filter("picked").toPandas()
-    want = pd.concat([smallest(g, math.ceil(len(g) * 0.37)) for _, g in pixels.groupby(PAIR)])
+    want = pd.concat([smallest(g, math.ceil(len(g) * 0.37), "test") for _, g in pixels.groupby(PAIR)])
     assert as_set(got) == as_set(want)
 
 
@@ -85,7 +84,7 @@ def test_every_path_draws_the_same_rows(spark, pixels, monkeypatch, rank_limit,
 def test_split_does_not_depend_on_partitioning(spark, pixels, parts):
     rows = spark.createDataFrame(pixels).repartition(parts)
     got = sampling.random_split(rows, ["row", "col"]).filter("split = 'validation'").toPandas()
-    assert as_set(got) == as_set(smallest(pixels, math.ceil(0.2 * len(pixels))))
+    assert as_set(got) == as_set(smallest(pixels, math.ceil(0.2 * len(pixels)), "validation"))
 
 
 def quotas_by_hand(counts, fraction):
@@ -144,10 +143,10 @@ def test_shuffle_keeps_all_rows(spark, pixels):
     assert mixed.toPandas()["row"].tolist() != pixels["row"].tolist()
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**9])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_attach_paths_agree(spark, pixels, monkeypatch, broadcast_rows, how):
-    monkeypatch.setattr(settle_module, "BROADCAST_ROWS", broadcast_rows)
+def test_attach_paths_agree(spark, pixels, monkeypatch, broadcast_bytes, how):
+    monkeypatch.setattr(settle_module, "BROADCAST_BYTES", broadcast_bytes)
     rows = spark.createDataFrame(pixels)
     facts = settle_module.settle(rows.filter("huc8 = '01'").groupBy(*PAIR).agg(F.max("flood_depth").alias("top")))
     got = settle_module.attach(rows, facts, PAIR, how).toPandas()
@@ -161,3 +160,34 @@ def test_no_window_without_partition_and_no_python(spark, pixels):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in plan and "ArrowEval" not in plan
         assert "SinglePartition" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_split_is_independent_of_what_balancing_kept(spark):
+    """Ten zeros to a wet row: kept zeros and shallow wet rows reach the test set alike."""
+    rng = np.random.default_rng(3)
+    n = 22_000
+    data = pd.DataFrame({"huc8": "h", "return_period": "p", "row": np.arange(n), "col": 0})
+    # Depths run to 10, so that the first stratum holds all zeros and a tenth of the wet rows.
+    data["flood_depth"] = np.where(np.arange(n) % 11, 0.0, rng.uniform(0.001, 10.0, n))
+    balanced = settle_module.settle(sampling.balance_classes(spark.createDataFrame(data), ["row", "col"])).table
+    split = strata.stratified_split(strata.depth_strata(balanced), ["row", "col"]).filter("stratum = 1").toPandas()
+    zero = split.flood_depth == 0
+    shares = [(split.split[side] == "test").mean() for side in (zero, ~zero)]
+    spread = math.sqrt(0.3 * 0.7 / (~zero).sum())
+    assert (~zero).sum() > 150 and abs(shares[0] - shares[1]) < 4 * spread
+
+
+def test_repeated_keys_at_the_cut_are_refused(spark):
+    rows = spark.createDataFrame([(1, 0)] * 10, "row int, col int")
+    with pytest.raises(Exception, match="do not identify"):
+        sampling.random_split(rows, ["row", "col"]).count()
+    # Repeats that all fall on one side of the cut do not change a count.
+    assert sampling.random_split(rows, ["row", "col"], fraction=1.0).filter("split = 'validation'").count() == 10
+
+
+def test_broadcast_follows_bytes_not_rows(spark):
+    wide = settle_module.settle(spark.range(100).selectExpr("id", "repeat('x', 1000000) as t", "array(1L, 2L) as a"))
+    narrow = settle_module.settle(spark.range(100_000).selectExpr("id", "cast(id as string) as t"))
+    lists = settle_module.settle(spark.range(2).selectExpr("id", "array('a') as t"))
+    assert wide.rows == 100 and wide.width > 1_000_000 and not wide.broadcastable
+    assert narrow.rows == 100_000 and narrow.broadcastable and not lists.broadcastable

@@ -31,8 +31,8 @@ def test_non_finite_to_zero_and_to_limits(spark):
     assert same(
         column(spark, data, v.non_finite_to_limits), [1.5, 0.0, v.FLOAT64_MAX, -v.FLOAT64_MAX, None]
     )
-    narrow = column(spark, data, lambda c: v.non_finite_to_limits(c, v.FLOAT32_MAX))
-    assert narrow[2] == v.FLOAT32_MAX
+    narrow = column(spark, data, lambda c: v.non_finite_to_limits(c.cast("float")))
+    assert same(narrow, [1.5, 0.0, v.FLOAT32_MAX, -v.FLOAT32_MAX, None])
 
 
 @pytest.mark.parametrize("nodata, expected", [(-9999.0, [True, False, False]), (NAN, [False] * 3), (None, [False] * 3)])
