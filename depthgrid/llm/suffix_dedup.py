@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthgrid.llm import words
-from depthgrid.llm.shared import BITMAP_BITS, bitmap, mark, stored
+from depthgrid.llm.shared import BITMAP_BITS, bitmap, counted, mark, stored
 
 MIN_WORDS, GRAM, WINDOW = 50, 8, 24
 LEFT, REACH = WINDOW, MIN_WORDS + WINDOW
@@ -190,8 +190,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("__id").isNotNull()
     )
     kind = source.schema["__id"].dataType.simpleString()
-    marked = stored(source.mapInArrow(_mark_rows, f"__id {kind}, __at int, __gram bigint"))
-    again = marked.groupBy("__gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__gram")
+    marked, n_marks = counted(source.mapInArrow(_mark_rows, f"__id {kind}, __at int, __gram bigint"))
+    # Stored, so that the join shuffles both sides and AQE can split the rows of a frequent gram.
+    again = stored(
+        marked.groupBy("__gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__gram"),
+        n_marks // 2,
+    )
     places = stored(
         marked.join(again, "__gram", "left_semi")
         .groupBy("__id").agg(F.sort_array(F.collect_set("__at")).alias("__at"))  # bounded by the text
