@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depthgrid.llm.shared import BITMAP_BITS, bitmap, mark, stored
+from depthgrid.llm.shared import BITMAP_BITS, bitmap, counted, mark, stored
 
 PREFIX_CHARS = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,8 +41,9 @@ def _refined(docs: DataFrame, id_col: str, text_col: str, carry: Column) -> Data
     text = F.col(text_col)
     length = F.octet_length(F.coalesce(text, F.lit("")))
     head = F.xxhash64(normalised(F.substring(text, 1, PREFIX_CHARS)))
-    narrow = docs.select(length.alias("__len"), head.alias("__head"))
-    by_length = _repeated(narrow, ["__len"])
+    narrow, n_rows = counted(docs.select(length.alias("__len"), head.alias("__head")))
+    # Stored, so that the join shuffles both sides and AQE can split the rows of a frequent length.
+    by_length = stored(_repeated(narrow, ["__len"]), n_rows // 2)
     by_head = _repeated(narrow.join(by_length, "__len", "left_semi"), ["__len", "__head"])
     bits = stored(bitmap(by_head, ["__len", "__head"]), BITMAP_BITS // 64)
     rows = docs.select(
@@ -62,16 +63,17 @@ def exact_groups(
 
     ``carry`` is an expression over ``docs`` returned with each row (null by default).
     """
-    rows = stored(
+    rows, n_rows = counted(
         _refined(docs, id_col, text_col, F.lit(None) if carry is None else carry)
         .withColumn("__row", F.monotonically_increasing_id())
     )
     keys = ["__len", "__head", "__full"]
-    groups = (
+    groups = stored(
         rows.filter("__full is not null")
         .groupBy(*keys)
         .agg(F.max(F.struct("__id", "__row")).alias("__best"), F.count(F.lit(1)).alias("__size"))
-        .filter("__size > 1")
+        .filter("__size > 1"),
+        n_rows // 2,
     )
     # A row without a full hash matches no group. It gets a key of its own, so that unique rows
     # do not meet in one task; AQE splits the rows of a large group.
