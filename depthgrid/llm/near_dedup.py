@@ -155,10 +155,12 @@ def link_components(
     )
     # 3. buckets with at least two classes
     members = classes.select("rep", "n", F.explode("__buckets").alias("bucket"))
-    heads = (
+    # Stored, so that the join shuffles both sides and AQE can split the rows of a large bucket.
+    heads = stored(
         members.groupBy("bucket")
         .agg(F.min(F.struct("rep", "n")).alias("head"), F.count(F.lit(1)).alias("size"))
-        .filter("size > 1")
+        .filter("size > 1"),
+        n_classes * BANDS // 2,
     )
     crowded, n_crowded = counted(
         members.join(heads, "bucket").select(
