@@ -36,7 +36,11 @@ def components(
     before = _state(pairs)
     while True:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Stored, so that the join shuffles both sides and AQE can split the rows of a hub.
+        low = stored(
+            both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
+            2 * rows,
+        )
         large = stored(
             both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u <> v").distinct(),

@@ -208,7 +208,8 @@ def _rest(
         labels.withColumnRenamed("node", "rep"), "rep", "left"
     ).withColumn("label", F.coalesce("label", "rep"))
     several = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    mixed = stored(named.join(several.filter("x <> y").select("bucket"), "bucket", "left_semi"), at_most)
+    several = stored(several.filter("x <> y").select("bucket"), at_most)
+    mixed = stored(named.join(several, "bucket", "left_semi"), at_most)
     edges, n_edges = counted(mixed.select("a", F.col("rep").alias("b")).distinct(), at_most)
     groups = components(edges, at_most=n_edges).select(
         F.col("node").alias("rep"), F.col("label").alias("group")
@@ -223,13 +224,16 @@ def _rest(
     counts = member.groupBy("group", "class").agg(
         F.ceil(F.count(F.lit(1)) / fit).cast("long").alias("blocks")
     )
+    counts = stored(counts, at_most)
     member = stored(
         member.join(counts, ["group", "class"])
         .withColumn("block", F.struct("class", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("no")))
         .select("rep", "n", "label", "group", "block"),
         at_most,
     )
-    blocks = member.groupBy("group", F.col("block").alias("other")).agg(F.count(F.lit(1)).alias("k"))
+    blocks = stored(
+        member.groupBy("group", F.col("block").alias("other")).agg(F.count(F.lit(1)).alias("k")), at_most
+    )
     near = F.abs(F.col("block.class") - F.col("other.class")) <= 2
     # A set goes to each pair of its block and another: group size / block size copies of it.
     dealt = member.join(blocks.drop("k"), "group").filter(near).select(
