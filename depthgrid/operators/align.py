@@ -81,10 +81,16 @@ def impute_mean(
 
 
 def _wide(cells: DataFrame, keys: Sequence[str], layers: Sequence[str]) -> DataFrame:
-    """One row per key and one column per layer, from a fixed layer list."""
-    return cells.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("layer") == name, F.col("value"))).alias(name) for name in layers]
+    """One row per key and one column per layer, from a fixed layer list.
+
+    Two cells of one pixel and layer cannot both be right, so the job fails on them.
+    """
+    wide = cells.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("layer") == name, F.col("value"))).alias(name) for name in layers],
+        F.greatest(*[F.count_if(F.col("layer") == name) for name in layers]).alias("_most"),
     )
+    repeated = F.raise_error(F.lit("a pixel has two cells in one layer")).cast("boolean")
+    return wide.filter(F.when(F.col("_most") > 1, repeated).otherwise(F.lit(True))).drop("_most")
 
 
 def align_pixels(

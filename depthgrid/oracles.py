@@ -363,6 +363,10 @@ ORACLES: dict[str, str] = {
       union all select concat('EVT_', event_type), 'live', event_id::varchar, value / 12.0::double, value / 10.0::double, null from events""",
 }
 
+ORACLES["mixed_folder"] = f"""with {DEPTH}, deep as (select * from depth where flood_depth > 0.01)
+    select huc8, return_period, count(*) n, {_metrics('flood_depth', 'predicted')[1]} "RMSE", null::varchar lacking
+      from deep where huc8 <> 'HUC_A' group by huc8, return_period
+    union all select distinct huc8, return_period, 0::bigint, null::double, 'predicted' from depth where huc8 = 'HUC_A'"""
 ORACLES["benchmark_report"] = ORACLES["benchmark_metrics"]
 ORACLES["scored_report"] = ORACLES["metrics_by_group"]
 ORACLES["skipped_pairs"] = f"""select huc8, return_period, 'no depth raster' reason

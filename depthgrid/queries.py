@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from depthgrid import fixtures as fx
 from depthgrid.functions import values as v
 from depthgrid.functions.names import file_name, parent_folder, period_of
-from depthgrid.models.boosting import BoostedModel, fit_boosted, fit_plain_squared
+from depthgrid.models.boosting import BoostedModel, fit_boosted
 from depthgrid.models.params import SQUARED_CONFIG, TWEEDIE_CONFIG, BoostParams
 from depthgrid.models.search import hyper_search
 from depthgrid.operators import align, classify, density, describe, regression, sampling, strata
 from depthgrid.operators.settle import settle
-from depthgrid.plans import evaluate, prepare
+from depthgrid.plans import evaluate, prepare, train
 from depthgrid.schema import FEATURES, PAIR, TARGET, feature_columns
 from depthgrid.sources import catalog
 from depthgrid.session import fresh_path
@@ -327,38 +327,47 @@ def _report(scored: DataFrame) -> DataFrame:
     return regression.regression_report(cleaned, "label")
 
 
-def boost_squared(spark, sf):
+def _configured(spark, sf, config) -> tuple[DataFrame, BoostedModel]:
+    """A fit with the whole configuration: 500 rounds of depth 8 at most, early stopping after 30."""
     rows = training_rows(spark, sf)
-    model = fit_plain_squared(rows.filter("split = 'train'"), FEATURES, rounds=5, depth=4, rate=0.3)
-    return _report(model.transform(rows))
+    return rows, fit_boosted(rows, FEATURES, BoostParams.from_config(config), KEYS)
 
 
-def _tweedie(spark, sf, rounds: int = 5, depth: int = 4):
-    rows = training_rows(spark, sf)
-    params = BoostParams.from_config(TWEEDIE_CONFIG, n_estimators=rounds, max_depth=depth)
-    return rows, fit_boosted(rows, FEATURES, params, KEYS)
+def boost_squared(spark, sf):
+    rows, model = _configured(spark, sf, SQUARED_CONFIG)
+    return _report(model.score(rows))
 
 
 def boost_tweedie(spark, sf):
-    rows, model = _tweedie(spark, sf)
+    rows, model = _configured(spark, sf, TWEEDIE_CONFIG)
     return _report(model.score(rows))
 
 
 def boost_history(spark, sf):
-    rows = training_rows(spark, sf)
-    params = BoostParams.from_config(SQUARED_CONFIG, n_estimators=6, max_depth=4, early_stopping_rounds=2)
-    return fit_boosted(rows, FEATURES, params, KEYS).history_table(spark)
+    return _configured(spark, sf, SQUARED_CONFIG)[1].history_table(spark)
 
 
 def score_testset(spark, sf):
-    rows, model = _tweedie(spark, sf, rounds=3)
-    return model.score(rows).select(*PAIR, *KEYS, TARGET, "predicted")
+    """The stored test sets of the prepared pairs, scored by a model of their training rows."""
+    folder = fresh_path(spark)
+    pixels = settle(fx.clean_pixels(spark, sf).drop("predicted")).table
+    split = settle(prepare.split_pixels(pixels, KEYS)).table
+    tables.write_test_sets(split.filter("split = 'test'").drop("split"), f"{folder}/test")
+    trained = train.train(split.filter("split = 'train'").drop("split"), TWEEDIE_CONFIG, KEYS)
+    evaluate.predict(spark, trained.model, f"{folder}/test", f"{folder}/scored")
+    return tables.load_pixels(spark, f"{folder}/scored").select(*PAIR, *KEYS, TARGET, "predicted")
 
 
 def hyper_search_query(spark, sf):
+    """All five searched parameters; swarm, generations and rounds are small, as a full search is
+    56 fits of 100 to 500 rounds, hours on one machine.
+    """
     rows = training_rows(spark, sf)
     sample = sampling.fraction_sample(rows, KEYS)
-    bounds = {"max_depth": (2, 5), "learning_rate": (0.1, 0.5), "n_estimators": (1, 4)}
+    bounds = {
+        "max_depth": (2, 5), "learning_rate": (0.1, 0.5), "subsample": (0.5, 1.0),
+        "colsample_bytree": (0.5, 1.0), "n_estimators": (1, 4),
+    }
     _, log = hyper_search(sample, FEATURES, SQUARED_CONFIG, KEYS, bounds, swarm=3, iterations=1)
     return log
 
@@ -447,6 +456,20 @@ def scored_report(spark, sf):
     return _rounded(evaluate.metrics_report(tables.load_pixels(spark, folder)))
 
 
+def mixed_folder(spark, sf):
+    """Pairs of one watershed stored without the prediction: reported, and left out of the metrics."""
+    folder = fresh_path(spark)
+    rows = settle(fx.depth_pixels(spark, sf)).table
+    bare = F.col("huc8") == "HUC_A"
+    for part in (rows.filter(~bare), rows.filter(bare).drop("predicted")):
+        part.write.mode("append").partitionBy(*PAIR).parquet(folder)
+    complete, skipped = tables.load_complete(spark, folder, [TARGET, "predicted"])
+    metrics = _rounded(evaluate.metrics_report(complete)).filter("Type = 'Predicted'")
+    named = skipped.select(*PAIR, F.array_join("lacking", ",").alias("lacking"))
+    both = metrics.select(*PAIR, "n", "RMSE").join(named, list(PAIR), "full")
+    return both.withColumn("n", F.coalesce("n", F.lit(0)))
+
+
 def density_baseline(spark, sf):
     return _rounded(evaluate.density_report(fx.depth_pixels(spark, sf), baseline=True).hexagons)
 
@@ -465,7 +488,7 @@ QUERIES: dict[str, Query] = {
         best_f1_threshold, pr_auc, pr_vs_threshold, hexbin_density, ols_line, union_pairs,
         boost_squared, boost_tweedie, boost_history, score_testset,
         boost_stump_squared, boost_stump_tweedie, boost_stump_history,
-        prepare_tables, skipped_pairs, benchmark_report, scored_report, density_baseline,
+        prepare_tables, skipped_pairs, benchmark_report, scored_report, mixed_folder, density_baseline,
     )
 }
 QUERIES["hyper_search"] = hyper_search_query

@@ -56,10 +56,6 @@ def require_columns(df: DataFrame, needed: Iterable[str]) -> DataFrame:
     return df
 
 
-def has_columns(df: DataFrame, needed: Iterable[str]) -> bool:
-    return set(needed) <= set(df.columns)
-
-
 def numeric_columns(df: DataFrame, without: Iterable[str] = ()) -> list[str]:
     """Numeric columns in table order, minus ``without`` (names that are absent are ignored)."""
     dropped = set(without)

@@ -236,3 +236,25 @@ def test_sink_files_follow_the_rows_of_a_pair(spark, tmp_path):
     for pair, n in files.items():
         assert n <= (2 * 6 if "huc8=false" in pair else 2 * 1), (pair, n)
     assert tables.load_pixels(spark, str(tmp_path / "sets")).count() == 40_000
+
+
+def test_two_cells_of_one_pixel_are_refused(spark):
+    cells, layers = as_tables(spark, make_world(nan_sentinel_pair=False))
+    twice = cells.unionByName(cells.filter("layer = 'dem'").limit(1))
+    with pytest.raises(Exception, match="two cells"):
+        align.pixel_table(twice, layers).count()
+
+
+def test_groups_without_a_needed_column_are_reported(spark, tmp_path):
+    rows = spark.range(40).selectExpr(
+        "cast(id % 4 as string) as huc8", "'p' as return_period", "cast(id as double) as flood_depth",
+        "cast(id as double) as predicted", "if(id % 4 = 1, null, 1.0D) as owp_hand_fim",
+    )
+    path = str(tmp_path / "mixed")
+    rows.filter("huc8 <> '2'").write.partitionBy("huc8", "return_period").parquet(path)
+    rows.filter("huc8 = '2'").drop("predicted").write.mode("append").partitionBy("huc8", "return_period").parquet(path)
+    kept, skipped = tables.load_complete(spark, path, ["flood_depth", "predicted", "owp_hand_fim"])
+    assert {r.huc8 for r in kept.collect()} == {"0", "3"} and kept.count() == 20
+    assert {(r.huc8, tuple(r.lacking)) for r in skipped.collect()} == {("1", ("owp_hand_fim",)), ("2", ("predicted",))}
+    none, all_of_them = tables.load_complete(spark, path, ["slope"])
+    assert none.count() == 0 and all_of_them.count() == 4
