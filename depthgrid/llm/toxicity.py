@@ -33,6 +33,8 @@ from depthgrid.llm.shared import stored
 
 #: Bound of the labelled rows that are fitted, of the buckets kept and of the hash space.
 SAMPLE_ROWS, FEATURES, BUCKETS = 20_000, 4_096, 1 << 20
+#: Tasks that read the sample, whose size is bounded; more would only leave tiny files.
+SAMPLE_TASKS = 16
 #: A bucket needs this many labelled texts and this chi-square, which chance rarely gives to one.
 LEAST_TEXTS, LEAST_CHI = 8, 20.0
 FACTORS, EPOCHS, BATCH, STEP, DECAY, SEED = 8, 12, 256, 0.1, 1e-4, 7
@@ -161,6 +163,7 @@ def fit(
         texts.join(F.broadcast(sample), "__id")
         .groupBy(F.lower("__text")).agg(F.max("__label").alias("__label"), F.max("__text").alias("__text"))
         .select("__label", "__text")
+        .coalesce(SAMPLE_TASKS)
         .mapInArrow(_bucket_lists, "__label int, __buckets array<int>")
         .withColumn("__row", F.monotonically_increasing_id())
     )
