@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depthgrid.llm.shared import BITMAP_BITS, bitmap, counted, mark, stored
+from depthgrid.llm.shared import BITMAP_BITS, bitmap, counted, gathered, mark, stored
 
 PREFIX_CHARS = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,7 +78,7 @@ def exact_groups(
     # A row without a full hash matches no group. It gets a key of its own, so that unique rows
     # do not meet in one task; AQE splits the rows of a large group.
     own = F.coalesce("__full", F.col("__row").cast("string"))
-    joined = rows.withColumn("__full", own).join(groups, keys, "left")
+    joined = gathered(rows.withColumn("__full", own).join(groups, keys, "left"), n_rows)
     return joined.select(
         F.col("__id").alias(id_col),
         F.coalesce("__best.__id", "__id").alias("keep_id"),

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from depthgrid.llm import words
 from depthgrid.llm.components import components
-from depthgrid.llm.shared import anti_by_id, counted, semi_by_id, stored
+from depthgrid.llm.shared import anti_by_id, counted, gathered, semi_by_id, stored
 
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
@@ -191,6 +191,7 @@ def link_components(
     # A row without a key joins nothing; it gets a key of its own to stay out of one task.
     own = F.coalesce("__key", F.concat(F.lit("-"), F.col("__id").cast("string")).cast("binary"))
     joined = rows.select("__id", "__n", own.alias("__key")).join(groups, "__key", "left")
+    joined = gathered(joined, n_rows)
     component = F.when(F.col("__id").isNotNull(), F.coalesce("label", "__id"))
     return joined.select(
         F.col("__id").alias(id_col),

@@ -22,6 +22,11 @@ BROADCAST_ROWS = 200_000
 ROWS_PER_FILE = 100_000
 
 
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """At most one partition for each ROWS_PER_FILE of a known number of narrow rows."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
+
+
 def stored(df: DataFrame, at_most: int | None = None) -> DataFrame:
     """Write to the cluster's shared folder and read back: lineage ends, nothing is recomputed.
 
@@ -33,9 +38,7 @@ def stored(df: DataFrame, at_most: int | None = None) -> DataFrame:
 
 def counted(df: DataFrame, at_most: int | None = None) -> tuple[DataFrame, int]:
     """``stored`` with the number of rows."""
-    if at_most is not None:
-        df = df.coalesce(max(1, -(-at_most // ROWS_PER_FILE)))
-    done = settle(df)
+    done = settle(df if at_most is None else gathered(df, at_most))
     return done.table, done.rows
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthgrid.llm import words
-from depthgrid.llm.shared import BITMAP_BITS, bitmap, counted, mark, stored
+from depthgrid.llm.shared import BITMAP_BITS, bitmap, counted, gathered, mark, stored
 
 MIN_WORDS, GRAM, WINDOW = 50, 8, 24
 LEFT, REACH = WINDOW, MIN_WORDS + WINDOW
@@ -212,7 +212,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         f"__id {kind}, __begin int, __end int, __other {kind}, __border boolean, __at int, "
         "__right binary, __left binary"
     )
-    found = stored(
+    found, n_found = counted(
         suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
         .mapInArrow(_neighbours(True), found_type)
     )
@@ -225,7 +225,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     inside = Window.partitionBy("__id").orderBy("__begin", "__end", "__other")
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.coalesce(F.col("__begin") > F.max("__end").over(before), F.lit(True))
-    return (
+    merged = (
         spans.groupBy("__id", "__begin", "__end").agg(F.min("__other").alias("__other"))
         .withColumn("__fresh", fresh.cast("int"))
         .withColumn("__span", F.sum("__fresh").over(inside))
@@ -239,3 +239,4 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             (F.col("end_word") - F.col("start_word")).alias("n_words"), "partner_id",
         )
     )
+    return gathered(merged, n_found)
