@@ -9,14 +9,16 @@
 3. Suffixes are sorted over the whole cluster: range partitions by content, then document and
    place, so that a passage in a third of all documents still spreads over many tasks. Each
    suffix is compared with its neighbours from other documents, which have the longest common
-   beginning, and the match is extended left and right. Rows at partition borders are compared in
-   a second, small pass.
+   beginning, and the match is extended left and right. Suffixes that share LEAST_RIGHT or more
+   words are also put in the order of what stands left of them and compared with their
+   neighbours in that order, so that a match that needs words on both sides is found too. Rows at
+   partition borders are compared in a second, small pass.
 4. Matches of MIN_WORDS words or more are merged into spans per document. A longer passage holds
    a mark every WINDOW words, whose matches overlap, so spans reach the passage's true ends.
 
-Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased, numbered from 0. A
-neighbour is the best match to the right; where many texts share the words right of a mark but
-differ to its left, a match that needs words on both sides may be overlooked.
+Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased, numbered from 0. The left
+order sees HELD sorted rows at a time: of a passage that more suffixes share, a span may be short
+by a few words where its best partner on both sides stands further away than that.
 
 Defined cases: texts of fewer than MIN_WORDS words (null and empty ones too) have no spans; a
 repeat inside one document alone is none; rows with a null id are left out; rows that share an id
@@ -37,9 +39,14 @@ from depthgrid.llm.shared import BITMAP_BITS, bitmap, counted, gathered, mark, s
 
 MIN_WORDS, GRAM, WINDOW = 50, 8, 24
 LEFT, REACH = WINDOW, MIN_WORDS + WINDOW
+#: A match reaches LEFT words to the left at most, so it has this many to the right.
+LEAST_RIGHT = MIN_WORDS - LEFT
 BYTES = 3
+#: Rows of a sorted partition that are looked at together.
+HELD = 5_000
 
 _U64 = np.uint64
+_HEAD = LEAST_RIGHT * BYTES
 _PLACE = words.mix(np.arange(5001, 5001 + GRAM, dtype=_U64)) | _U64(1)
 
 
@@ -122,6 +129,36 @@ def _neighbours(border: bool):
     row after the run. With ``border`` the rows around the partition's two ends are returned too.
     """
 
+    def by_left(rows: list[tuple], a: list[int], b: list[int]) -> None:
+        """Pairs of neighbours in left order among rows that share a number of words to the right.
+
+        Such rows are a stretch of the sorted rows, and stretches for larger numbers lie inside
+        those for smaller ones, so every different stretch is put in left order once.
+        """
+        first = [r[2][: MIN_WORDS * BYTES] for r in rows]
+        common = _common(first, np.arange(1, len(rows)), np.arange(len(rows) - 1), MIN_WORDS)
+        breaks = np.flatnonzero(common < LEAST_RIGHT) + 1
+        open_stretches = list(zip([0, *breaks], [*breaks, len(rows)]))
+        while open_stretches:
+            begin, end = open_stretches.pop()
+            if end - begin < 3:
+                continue  # two rows are neighbours in any order
+            order = sorted(range(begin, end), key=lambda i: (rows[i][3], rows[i][0]))
+            cuts = [k for k in range(1, len(order)) if rows[order[k]][0] != rows[order[k - 1]][0]]
+            for lo, hi in zip([0, *cuts], [*cuts, len(order)]):
+                for i in order[lo:hi]:
+                    if lo:
+                        a.append(i)
+                        b.append(order[lo - 1])
+                    if hi < len(order):
+                        a.append(i)
+                        b.append(order[hi])
+            inside = common[begin : end - 1]
+            least = inside.min()
+            if least < MIN_WORDS:
+                parts = [begin, *(np.flatnonzero(inside == least) + begin + 1), end]
+                open_stretches += list(zip(parts, parts[1:]))
+
     def matches(rows: list[tuple], runs: list[tuple[int, int]]) -> list[tuple]:
         a, b = [], []
         for begin, end in runs:
@@ -132,6 +169,7 @@ def _neighbours(border: bool):
                 if end < len(rows):
                     a.append(i)
                     b.append(end)
+        by_left(rows, a, b)
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         out = []
         for lo in range(0, len(a), 4096):
@@ -152,11 +190,10 @@ def _neighbours(border: bool):
         for batch in batches:
             kind = batch.schema.field("__id").type
             fresh = list(zip(*(batch.column(c).to_pylist() for c in ("__id", "__at", "__right", "__left"))))
-            for begin in range(0, len(fresh), 5000):
-                base = len(rows)
-                rows = rows + [r for r in fresh[begin : begin + 5000]]
+            for begin in range(0, len(fresh), HELD):
+                rows = rows + fresh[begin : begin + HELD]
                 starts = [known] + [
-                    i for i in range(max(base, known + 1), len(rows)) if rows[i][0] != rows[i - 1][0]
+                    i for i in range(known + 1, len(rows)) if rows[i][0] != rows[i - 1][0]
                 ]
                 if len(starts) < 2:
                     continue  # the run goes on
@@ -165,6 +202,12 @@ def _neighbours(border: bool):
                     first = rows[: starts[1] + 1]
                 yield _batch(matches(rows, runs), kind)
                 keep = starts[-1] - 1
+                # Rows that share their first words with the last one stay too, to be put in
+                # left order with what follows; their matches may come twice.
+                while keep > max(len(rows) - HELD, 0) and rows[keep][2][:_HEAD] == rows[-1][2][:_HEAD]:
+                    keep -= 1
+                while keep and rows[keep][0] == rows[keep + 1][0]:
+                    keep -= 1  # not inside a document's run
                 rows, known = rows[keep:], 1
         if rows:
             yield _batch(matches(rows, [(known, len(rows))]), kind)
