@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,19 @@ from depthgrid.llm import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Bytes of text that go to a Python worker at once; the default of 64 MB is held several times.
+ARROW_BYTES = "16m"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Workers started from elsewhere are told where this package lies (on a
+    cluster it has to be installed or submitted with the job), and get texts in small batches.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    workers = spark.sparkContext.environment
+    if ROOT not in workers.get("PYTHONPATH", "").split(os.pathsep):
+        workers["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, workers.get("PYTHONPATH")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
