@@ -120,72 +120,111 @@ def _common(texts: list[bytes], a: np.ndarray, b: np.ndarray, width: int) -> np.
 
 
 _FOUND = ["__id", "__begin", "__end", "__other", "__border", "__at", "__right", "__left"]
+Row = tuple  # (document, place, right words, left words)
+
+
+def _pair_lengths(rows: list[Row], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(left, right) words in common of the suffixes rows[a] and rows[b]."""
+    left, right = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+    for lo in range(0, len(a), 4096):
+        part = slice(lo, lo + 4096)
+        used, back = np.unique(np.concatenate([a[part], b[part]]), return_inverse=True)
+        x, y = back[: len(a[part])], back[len(a[part]) :]
+        right[part] = _common([rows[i][2] for i in used], x, y, REACH)
+        left[part] = _common([rows[i][3] for i in used], x, y, LEFT)
+    return left, right
+
+
+def _left_pairs(rows: list[Row], ids: np.ndarray, wanting: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbours of the wanting rows in left order, among rows that share words to the right.
+
+    Rows that share a number of words are a stretch of the sorted rows, and stretches for larger
+    numbers lie inside those for smaller ones, so every different stretch is ordered once.
+    """
+    first = [r[2][: MIN_WORDS * BYTES] for r in rows]
+    common = _common(first, np.arange(1, len(rows)), np.arange(len(rows) - 1), MIN_WORDS)
+    breaks = np.flatnonzero(common < LEAST_RIGHT) + 1
+    stretches = list(zip([0, *breaks], [*breaks, len(rows)]))
+    a, b = [], []
+    while stretches:
+        begin, end = stretches.pop()
+        if end - begin < 3 or not wanting[begin:end].any():
+            continue  # two rows are neighbours in any order
+        order = np.array(sorted(range(begin, end), key=lambda i: (rows[i][3], rows[i][0])))
+        cuts = np.flatnonzero(ids[order[1:]] != ids[order[:-1]]) + 1
+        starts, ends = np.r_[0, cuts], np.r_[cuts, len(order)]
+        sizes = ends - starts
+        before, after = np.repeat(starts - 1, sizes), np.repeat(ends, sizes)
+        for other, there in ((before, before >= 0), (after, after < len(order))):
+            there &= wanting[order]
+            a.append(order[there])
+            b.append(order[other[there]])
+        inside = common[begin : end - 1]
+        least = inside.min()
+        if least < MIN_WORDS:
+            parts = [begin, *(np.flatnonzero(inside == least) + begin + 1), end]
+            stretches += list(zip(parts, parts[1:]))
+    if not a:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _matches(rows: list[Row], starts: list[int], end: int, kind: pa.DataType) -> pa.RecordBatch:
+    """One span for each suffix in rows[starts[0]:end] that a neighbour confirms.
+
+    ``starts`` are the beginnings of runs, stretches of rows of one document. Spans of one suffix
+    all hold its place, so together they are one span.
+    """
+    _, ids = np.unique(np.array([r[0] for r in rows]), return_inverse=True)
+    begins, ends = np.array(starts), np.array([*starts[1:], end])
+    sizes = ends - begins
+    own = np.arange(begins[0], end)
+    before, after = np.repeat(begins - 1, sizes), np.repeat(ends, sizes)
+    a = np.concatenate([own[before >= 0], own[after < len(rows)]])
+    b = np.concatenate([before[before >= 0], after[after < len(rows)]])
+    left, right, other = (np.zeros(len(rows), np.int64) for _ in range(3))
+    other[:] = ids.max() + 1
+
+    def take(a, b):
+        l, r = _pair_lengths(rows, a, b)
+        good = l + r >= MIN_WORDS
+        for total, value in ((left, l), (right, r)):
+            np.maximum.at(total, a[good], value[good])
+        np.minimum.at(other, a[good], ids[b[good]])
+
+    take(a, b)
+    # A suffix whose match covers all the words it carries to its left can't gain from another.
+    reach = np.fromiter((len(r[3]) // BYTES for r in rows), np.int64, len(rows))
+    wanting = left < reach
+    wanting[: begins[0]] = wanting[end:] = False
+    if wanting.any():
+        take(*_left_pairs(rows, ids, wanting))
+    chosen = np.flatnonzero(right)
+    at = np.fromiter((rows[i][1] for i in chosen), np.int64, len(chosen))
+    names = {}
+    for i, r in zip(ids, rows):
+        names.setdefault(int(i), r[0])
+    none = [None] * len(chosen)
+    columns = [
+        [rows[i][0] for i in chosen], at - left[chosen], at + right[chosen],
+        [names[int(i)] for i in other[chosen]], [False] * len(chosen), none, none, none,
+    ]
+    return _batch(columns, kind)
+
+
+def _batch(columns: list, kind: pa.DataType) -> pa.RecordBatch:
+    types = [kind, pa.int32(), pa.int32(), kind, pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], _FOUND)
 
 
 def _neighbours(border: bool):
     """Compare a sorted partition's suffixes with their neighbours from other documents.
 
-    A run is a stretch of rows of one document. Its rows are compared with the row before and the
-    row after the run. With ``border`` the rows around the partition's two ends are returned too.
+    With ``border`` the rows around the partition's two ends are returned too.
     """
 
-    def by_left(rows: list[tuple], a: list[int], b: list[int]) -> None:
-        """Pairs of neighbours in left order among rows that share a number of words to the right.
-
-        Such rows are a stretch of the sorted rows, and stretches for larger numbers lie inside
-        those for smaller ones, so every different stretch is put in left order once.
-        """
-        first = [r[2][: MIN_WORDS * BYTES] for r in rows]
-        common = _common(first, np.arange(1, len(rows)), np.arange(len(rows) - 1), MIN_WORDS)
-        breaks = np.flatnonzero(common < LEAST_RIGHT) + 1
-        open_stretches = list(zip([0, *breaks], [*breaks, len(rows)]))
-        while open_stretches:
-            begin, end = open_stretches.pop()
-            if end - begin < 3:
-                continue  # two rows are neighbours in any order
-            order = sorted(range(begin, end), key=lambda i: (rows[i][3], rows[i][0]))
-            cuts = [k for k in range(1, len(order)) if rows[order[k]][0] != rows[order[k - 1]][0]]
-            for lo, hi in zip([0, *cuts], [*cuts, len(order)]):
-                for i in order[lo:hi]:
-                    if lo:
-                        a.append(i)
-                        b.append(order[lo - 1])
-                    if hi < len(order):
-                        a.append(i)
-                        b.append(order[hi])
-            inside = common[begin : end - 1]
-            least = inside.min()
-            if least < MIN_WORDS:
-                parts = [begin, *(np.flatnonzero(inside == least) + begin + 1), end]
-                open_stretches += list(zip(parts, parts[1:]))
-
-    def matches(rows: list[tuple], runs: list[tuple[int, int]]) -> list[tuple]:
-        a, b = [], []
-        for begin, end in runs:
-            for i in range(begin, end):
-                if begin:
-                    a.append(i)
-                    b.append(begin - 1)
-                if end < len(rows):
-                    a.append(i)
-                    b.append(end)
-        by_left(rows, a, b)
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        out = []
-        for lo in range(0, len(a), 4096):
-            x, y = a[lo : lo + 4096], b[lo : lo + 4096]
-            used, back = np.unique(np.concatenate([x, y]), return_inverse=True)
-            x, y = back[: len(x)], back[len(x) :]
-            r = _common([rows[i][2] for i in used], x, y, REACH)
-            l = _common([rows[i][3] for i in used], x, y, LEFT)
-            for i, j, m, n in zip(used[x], used[y], r, l):
-                if m + n >= MIN_WORDS:
-                    at = rows[i][1]
-                    out.append((rows[i][0], int(at - n), int(at + m), rows[j][0], False, None, None, None))
-        return out
-
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # ``rows``: the row before the open run, if any, then the open run
+        # ``rows``: some rows that were compared, from ``known`` on those that were not
         rows, known, first, kind = [], 0, None, None
         for batch in batches:
             kind = batch.schema.field("__id").type
@@ -197,33 +236,28 @@ def _neighbours(border: bool):
                 ]
                 if len(starts) < 2:
                     continue  # the run goes on
-                runs = list(zip(starts, starts[1:]))
                 if first is None:
                     first = rows[: starts[1] + 1]
-                yield _batch(matches(rows, runs), kind)
+                yield _matches(rows, starts[:-1], starts[-1], kind)
                 keep = starts[-1] - 1
                 # Rows that share their first words with the last one stay too, to be put in
-                # left order with what follows; their matches may come twice.
+                # left order with what follows.
                 while keep > max(len(rows) - HELD, 0) and rows[keep][2][:_HEAD] == rows[-1][2][:_HEAD]:
                     keep -= 1
-                while keep and rows[keep][0] == rows[keep + 1][0]:
-                    keep -= 1  # not inside a document's run
-                rows, known = rows[keep:], 1
+                rows, known = rows[keep:], starts[-1] - keep
         if rows:
-            yield _batch(matches(rows, [(known, len(rows))]), kind)
+            starts = [known] + [i for i in range(known + 1, len(rows)) if rows[i][0] != rows[i - 1][0]]
+            yield _matches(rows, starts, len(rows), kind)
             if border:
-                edge = dict.fromkeys([*(first or []), *rows])
-                yield _batch([(i, None, None, None, True, at, r, l) for i, at, r, l in edge], kind)
+                last = max(starts[-1] - 1, 0)
+                edge = list(dict.fromkeys([*(first or []), *rows[last:]]))
+                ids, places, right, left = zip(*edge)
+                none, true = [None] * len(edge), [True] * len(edge)
+                yield _batch([ids, none, none, none, true, places, right, left], kind)
 
     return run_all
 
 
-def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    types = [kind, pa.int32(), pa.int32(), kind, pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
-    columns = zip(*rows) if rows else [[]] * len(types)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], _FOUND)
-
-
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, start_word, end_word, n_words, partner_id) for every repeated passage.
 
