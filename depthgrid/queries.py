@@ -344,7 +344,7 @@ def boost_tweedie(spark, sf):
 
 
 def boost_history(spark, sf):
-    return _configured(spark, sf, SQUARED_CONFIG)[1].history_table(spark)
+    return _configured(spark, sf, TWEEDIE_CONFIG)[1].history_table(spark)
 
 
 def score_testset(spark, sf):
