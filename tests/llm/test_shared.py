@@ -43,4 +43,4 @@ def test_marks_read_one_bounded_broadcast_and_shuffle_nothing(spark, rows):
 def test_known_sizes_decide_the_files(spark):
     table, n = shared.counted(spark.range(10).repartition(7), 10)
     assert n == 10 and len(table.inputFiles()) == 1
-    assert len(shared.stored(spark.range(10).repartition(7)).inputFiles()) == 7
+    assert len(shared.stored(spark.range(1000).repartition(7)).inputFiles()) == 7
