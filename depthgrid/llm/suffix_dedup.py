@@ -1,24 +1,22 @@
-"""Passages that repeat across documents, by a sparse suffix array over words.
-
-1. Of every WINDOW consecutive GRAM-word hashes the smallest marks its position. Marks depend on
-   the words alone, so two copies of a passage of MIN_WORDS words are marked at the same places.
-   Marks whose GRAM words occur once in the corpus are dropped (a map-side combined count).
-2. The suffixes at the other marks form the array. A suffix carries its next REACH words and the
-   LEFT words before it, each word as three bytes of its hash; documents without a mark that is
-   left are not read again.
-3. Suffixes are sorted over the whole cluster: range partitions by content, then document and
-   place, so that a passage in a third of all documents still spreads over many tasks. Each
-   suffix is compared with its neighbours from other documents, which have the longest common
-   beginning, and the match is extended left and right. Suffixes that share LEAST_RIGHT or more
-   words are also put in the order of what stands left of them and compared with their
-   neighbours in that order, so that a match that needs words on both sides is found too. Rows at
-   partition borders are compared in a second, small pass.
-4. Matches of MIN_WORDS words or more are merged into spans per document. A longer passage holds
-   a mark every WINDOW words, whose matches overlap, so spans reach the passage's true ends.
-
-Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased, numbered from 0. The left
-order sees HELD sorted rows at a time: of a passage that more suffixes share, a span may be short
-by a few words where its best partner on both sides stands further away than that.
+"""Passages that repeat across documents, by hashes of the stretches around their marked words.
+
+1. Of every WINDOW consecutive GRAM-word hashes the smallest marks its position. So each stretch
+   of MIN_WORDS words belongs to one mark, which depends on its words alone: equal stretches have
+   the same words marked. A mark has at most WINDOW stretches, all of which hold its first CORE
+   words; marks whose CORE words occur once in the corpus are dropped (a map-side combined count).
+2. The stretches of the other marks are hashed to 96 bits, without regard to what else matches
+   around them (at 2e9 stretches, about 30 GB, any two different ones are equal with a chance of
+   3e-11); documents without a mark that is left are not read again.
+3. Of each hash the two smallest ids are found. Ranks are cut before the shuffle, so a stretch in a
+   third of all documents is a few rows per task. Hashes with two ids are stored and joined to the
+   stretches again (a frequent hash is split).
+4. Stretches that another document holds are merged into spans per document.
+
+Every stretch of a document is judged by its own words and against all others, in no order and
+within no bounded group, so spans are those of the rule: what is covered by stretches of MIN_WORDS
+words that another id has, joined where they overlap or touch.
+
+Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased, numbered from 0.
 
 Defined cases: texts of fewer than MIN_WORDS words (null and empty ones too) have no spans; a
 repeat inside one document alone is none; rows with a null id are left out; rows that share an id
@@ -38,277 +36,141 @@ from depthgrid.llm import words
 from depthgrid.llm.shared import BITMAP_BITS, bitmap, counted, gathered, mark, stored
 
 MIN_WORDS, GRAM, WINDOW = 50, 8, 24
-LEFT, REACH = WINDOW, MIN_WORDS + WINDOW
-#: A match reaches LEFT words to the left at most, so it has this many to the right.
-LEAST_RIGHT = MIN_WORDS - LEFT
-BYTES = 3
-#: Rows of a sorted partition that are looked at together.
-HELD = 5_000
+#: A mark is one of the first WINDOW words of its stretches, so they share this many from it on.
+CORE = MIN_WORDS - WINDOW + 1
 
 _U64 = np.uint64
-_HEAD = LEAST_RIGHT * BYTES
 _PLACE = words.mix(np.arange(5001, 5001 + GRAM, dtype=_U64)) | _U64(1)
+#: Two independent hashes of MIN_WORDS words, the first also of the CORE words.
+_FIRST = words.mix(np.arange(6001, 6001 + MIN_WORDS, dtype=_U64)) | _U64(1)
+_SECOND = words.mix(np.arange(7001, 7001 + MIN_WORDS, dtype=_U64)) | _U64(1)
+#: Stretches per mark fit in so many bits.
+_COUNT_BITS = 5
 
 
-def marks(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, gram hashes) of the marked words of one text."""
+def marks(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places of the marked words of one text, first stretch of each mark, number of stretches)."""
     if len(hashes) < MIN_WORDS:
-        return np.zeros(0, np.int64), np.zeros(0, _U64)
+        return (np.zeros(0, np.int64),) * 3
     count = len(hashes) - GRAM + 1
     grams = np.zeros(count, _U64)
     for k in range(GRAM):
         grams += hashes[k : k + count] * _PLACE[k]
     grams = words.mix(grams)
-    rows = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-    places = np.unique(rows.argmin(axis=1) + np.arange(len(rows)))
-    return places, grams[places]
+    rows = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)[: len(hashes) - MIN_WORDS + 1]
+    # The leftmost of equal grams: places never fall, so a mark's stretches follow each other.
+    return np.unique(rows.argmin(axis=1) + np.arange(len(rows)), return_index=True, return_counts=True)
+
+
+def _hashes_at(hashes: np.ndarray, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Hash of the ``len(place)`` words from each position."""
+    total = np.zeros(len(at), _U64)
+    for k, factor in enumerate(place):
+        total += hashes[at + k] * factor
+    return words.mix(total)
 
 
 def _mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(__id, __at, __core): a mark's first stretch and their number in one value, hash of its core."""
     for batch in batches:
         for part in words.slices(batch, "__text"):
             _, _, hashes, bounds = words.word_hashes(part.column("__text"))
             found = [marks(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-            sizes = [len(p) for p, _ in found]
+            owner = np.repeat(np.arange(len(found)), [len(p) for p, _, _ in found])
+            places, firsts, counts = (np.concatenate(x).astype(np.int64) for x in zip(*found))
+            core = _hashes_at(hashes, bounds[owner] + places, _FIRST[:CORE])
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("__id").take(pa.array(np.repeat(np.arange(len(found)), sizes))),
-                    pa.array(np.concatenate([p for p, _ in found]).astype(np.int32)),
-                    pa.array(np.concatenate([g for _, g in found]).view(np.int64)),
+                    part.column("__id").take(pa.array(owner, pa.int64())),
+                    pa.array(firsts << _COUNT_BITS | counts),
+                    pa.array(core.view(np.int64)),
                 ],
-                ["__id", "__at", "__gram"],
+                ["__id", "__at", "__core"],
             )
 
 
-def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(__id, __begin, __one, __two, __new): each stretch with its hash; new where the row's first."""
     for batch in batches:
         for part in words.slices(batch, "__text"):
             _, _, hashes, bounds = words.word_hashes(part.column("__text"))
-            short = (hashes >> _U64(40)).astype(np.uint32)
-            code = np.stack([short >> 16, short >> 8, short], axis=1).astype(np.uint8)
             lists = part.column("__at")
-            owner, places, right, left = [], [], [], []
-            for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-                own = code[a:b]
-                forward, backward = own.tobytes(), own[::-1].tobytes()
-                for p in lists[i].as_py():
-                    if p < b - a:
-                        owner.append(i)
-                        places.append(p)
-                        right.append(forward[p * BYTES : (p + REACH) * BYTES])
-                        q = (b - a - p) * BYTES
-                        left.append(backward[q : q + LEFT * BYTES])
+            packed = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            sizes = packed & ((1 << _COUNT_BITS) - 1)
+            owner = np.repeat(owner, sizes)
+            begin = np.repeat(packed >> _COUNT_BITS, sizes)
+            begin += np.arange(len(begin)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            # Of rows that share an id, a shorter one may end before a longer one's marks.
+            inside = begin + MIN_WORDS <= np.diff(bounds)[owner]
+            at = np.unique(bounds[owner[inside]] + begin[inside])
+            owner = np.searchsorted(bounds, at, side="right") - 1
+            one = _hashes_at(hashes, at, _FIRST).view(np.int64)
+            two = (_hashes_at(hashes, at, _SECOND) >> _U64(32)).astype(np.uint32).view(np.int32)
+            order = np.lexsort((two, one, owner))
+            same = np.zeros(len(at), bool)
+            same[1:] = np.logical_and.reduce([x[order[1:]] == x[order[:-1]] for x in (owner, one, two)])
+            new = np.empty(len(at), bool)
+            new[order] = ~same
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("__id").take(pa.array(owner, pa.int64())),
-                    pa.array(places, pa.int32()), pa.array(right, pa.binary()), pa.array(left, pa.binary()),
+                    pa.array((at - bounds[owner]).astype(np.int32)),
+                    pa.array(one), pa.array(two), pa.array(new),
                 ],
-                ["__id", "__at", "__right", "__left"],
+                ["__id", "__begin", "__one", "__two", "__new"],
             )
 
 
-def _common(texts: list[bytes], a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
-    """Words that texts[a] and texts[b] have in common from their beginnings."""
-    if not len(a):
-        return np.zeros(0, np.int64)
-    full = b"".join(t.ljust(width * BYTES, b"\0") for t in texts)
-    table = np.frombuffer(full, np.uint8).reshape(len(texts), width, BYTES)
-    sizes = np.fromiter((len(t) // BYTES for t in texts), np.int64, len(texts))
-    same = (table[a] == table[b]).all(axis=2)
-    first = np.where(same.all(axis=1), width, (~same).argmax(axis=1))
-    return np.minimum(first, np.minimum(sizes[a], sizes[b]))
-
-
-_FOUND = ["__id", "__begin", "__end", "__other", "__border", "__at", "__right", "__left"]
-Row = tuple  # (document, place, right words, left words)
-
-
-def _pair_lengths(rows: list[Row], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(left, right) words in common of the suffixes rows[a] and rows[b]."""
-    left, right = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
-    for lo in range(0, len(a), 4096):
-        part = slice(lo, lo + 4096)
-        used, back = np.unique(np.concatenate([a[part], b[part]]), return_inverse=True)
-        x, y = back[: len(a[part])], back[len(a[part]) :]
-        right[part] = _common([rows[i][2] for i in used], x, y, REACH)
-        left[part] = _common([rows[i][3] for i in used], x, y, LEFT)
-    return left, right
-
-
-def _left_pairs(rows: list[Row], ids: np.ndarray, wanting: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Neighbours of the wanting rows in left order, among rows that share words to the right.
-
-    Rows that share a number of words are a stretch of the sorted rows, and stretches for larger
-    numbers lie inside those for smaller ones, so every different stretch is ordered once.
-    """
-    first = [r[2][: MIN_WORDS * BYTES] for r in rows]
-    common = _common(first, np.arange(1, len(rows)), np.arange(len(rows) - 1), MIN_WORDS)
-    breaks = np.flatnonzero(common < LEAST_RIGHT) + 1
-    stretches = list(zip([0, *breaks], [*breaks, len(rows)]))
-    a, b = [], []
-    while stretches:
-        begin, end = stretches.pop()
-        if end - begin < 3 or not wanting[begin:end].any():
-            continue  # two rows are neighbours in any order
-        order = np.array(sorted(range(begin, end), key=lambda i: (rows[i][3], rows[i][0])))
-        cuts = np.flatnonzero(ids[order[1:]] != ids[order[:-1]]) + 1
-        starts, ends = np.r_[0, cuts], np.r_[cuts, len(order)]
-        sizes = ends - starts
-        before, after = np.repeat(starts - 1, sizes), np.repeat(ends, sizes)
-        for other, there in ((before, before >= 0), (after, after < len(order))):
-            there &= wanting[order]
-            a.append(order[there])
-            b.append(order[other[there]])
-        inside = common[begin : end - 1]
-        least = inside.min()
-        if least < MIN_WORDS:
-            parts = [begin, *(np.flatnonzero(inside == least) + begin + 1), end]
-            stretches += list(zip(parts, parts[1:]))
-    if not a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(a), np.concatenate(b)
-
-
-def _matches(rows: list[Row], starts: list[int], end: int, kind: pa.DataType) -> pa.RecordBatch:
-    """One span for each suffix in rows[starts[0]:end] that a neighbour confirms.
-
-    ``starts`` are the beginnings of runs, stretches of rows of one document. Spans of one suffix
-    all hold its place, so together they are one span.
-    """
-    _, ids = np.unique(np.array([r[0] for r in rows]), return_inverse=True)
-    begins, ends = np.array(starts), np.array([*starts[1:], end])
-    sizes = ends - begins
-    own = np.arange(begins[0], end)
-    before, after = np.repeat(begins - 1, sizes), np.repeat(ends, sizes)
-    a = np.concatenate([own[before >= 0], own[after < len(rows)]])
-    b = np.concatenate([before[before >= 0], after[after < len(rows)]])
-    left, right, other = (np.zeros(len(rows), np.int64) for _ in range(3))
-    other[:] = ids.max() + 1
-
-    def take(a, b):
-        l, r = _pair_lengths(rows, a, b)
-        good = l + r >= MIN_WORDS
-        for total, value in ((left, l), (right, r)):
-            np.maximum.at(total, a[good], value[good])
-        np.minimum.at(other, a[good], ids[b[good]])
-
-    take(a, b)
-    # A suffix whose match covers all the words it carries to its left can't gain from another.
-    reach = np.fromiter((len(r[3]) // BYTES for r in rows), np.int64, len(rows))
-    wanting = left < reach
-    wanting[: begins[0]] = wanting[end:] = False
-    if wanting.any():
-        take(*_left_pairs(rows, ids, wanting))
-    chosen = np.flatnonzero(right)
-    at = np.fromiter((rows[i][1] for i in chosen), np.int64, len(chosen))
-    names = {}
-    for i, r in zip(ids, rows):
-        names.setdefault(int(i), r[0])
-    none = [None] * len(chosen)
-    columns = [
-        [rows[i][0] for i in chosen], at - left[chosen], at + right[chosen],
-        [names[int(i)] for i in other[chosen]], [False] * len(chosen), none, none, none,
-    ]
-    return _batch(columns, kind)
-
-
-def _batch(columns: list, kind: pa.DataType) -> pa.RecordBatch:
-    types = [kind, pa.int32(), pa.int32(), kind, pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], _FOUND)
-
-
-def _neighbours(border: bool):
-    """Compare a sorted partition's suffixes with their neighbours from other documents.
-
-    With ``border`` the rows around the partition's two ends are returned too.
-    """
-
-    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # ``rows``: some rows that were compared, from ``known`` on those that were not
-        rows, known, first, kind = [], 0, None, None
-        for batch in batches:
-            kind = batch.schema.field("__id").type
-            fresh = list(zip(*(batch.column(c).to_pylist() for c in ("__id", "__at", "__right", "__left"))))
-            for begin in range(0, len(fresh), HELD):
-                rows = rows + fresh[begin : begin + HELD]
-                starts = [known] + [
-                    i for i in range(known + 1, len(rows)) if rows[i][0] != rows[i - 1][0]
-                ]
-                if len(starts) < 2:
-                    continue  # the run goes on
-                if first is None:
-                    first = rows[: starts[1] + 1]
-                yield _matches(rows, starts[:-1], starts[-1], kind)
-                keep = starts[-1] - 1
-                # Rows that share their first words with the last one stay too, to be put in
-                # left order with what follows.
-                while keep > max(len(rows) - HELD, 0) and rows[keep][2][:_HEAD] == rows[-1][2][:_HEAD]:
-                    keep -= 1
-                rows, known = rows[keep:], starts[-1] - keep
-        if rows:
-            starts = [known] + [i for i in range(known + 1, len(rows)) if rows[i][0] != rows[i - 1][0]]
-            yield _matches(rows, starts, len(rows), kind)
-            if border:
-                last = max(starts[-1] - 1, 0)
-                edge = list(dict.fromkeys([*(first or []), *rows[last:]]))
-                ids, places, right, left = zip(*edge)
-                none, true = [None] * len(edge), [True] * len(edge)
-                yield _batch([ids, none, none, none, true, places, right, left], kind)
-
-    return run_all
-
-
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, start_word, end_word, n_words, partner_id) for every repeated passage.
 
-    The end is exclusive; partner_id is the smallest id among the neighbours that matched.
+    The end is exclusive; partner_id is the smallest id that shares MIN_WORDS words of the span.
     """
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).filter(
         F.col("__id").isNotNull()
     )
     kind = source.schema["__id"].dataType.simpleString()
-    marked, n_marks = counted(source.mapInArrow(_mark_rows, f"__id {kind}, __at int, __gram bigint"))
-    # Stored, so that the join shuffles both sides and AQE can split the rows of a frequent gram.
+    marked, n_marks = counted(source.mapInArrow(_mark_rows, f"__id {kind}, __at bigint, __core bigint"))
+    # Stored, so that the join shuffles both sides and AQE can split the rows of a frequent core.
     again = stored(
-        marked.groupBy("__gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__gram"),
+        marked.groupBy("__core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__core"),
         n_marks // 2,
     )
     places = stored(
-        marked.join(again, "__gram", "left_semi")
+        marked.join(again, "__core", "left_semi")
         .groupBy("__id").agg(F.sort_array(F.collect_set("__at")).alias("__at"))  # bounded by the text
     )
     bits = stored(bitmap(places, ["__id"]), BITMAP_BITS // 64)
     texts = mark(source, bits, ["__id"], "__maybe").filter("__maybe").select("__id", "__text")
-    suffixes = stored(
+    stretches, n_stretches = counted(
         texts.join(places, "__id").mapInArrow(
-            _suffix_rows, f"__id {kind}, __at int, __right binary, __left binary"
+            _stretch_rows, f"__id {kind}, __begin int, __one bigint, __two int, __new boolean"
         )
     )
-    order = ["__right", "__left", "__id", "__at"]
-    found_type = (
-        f"__id {kind}, __begin int, __end int, __other {kind}, __border boolean, __at int, "
-        "__right binary, __left binary"
-    )
-    found, n_found = counted(
-        suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(_neighbours(True), found_type)
+    key = ["__one", "__two"]
+    # The rank's bound also holds before the shuffle; rows of one id tie only where they share it.
+    rank = F.dense_rank().over(Window.partitionBy(*key).orderBy("__id"))
+    shared = stored(
+        stretches.filter("__new").select(*key, "__id").withColumn("__rank", rank).filter("__rank <= 2")
+        .groupBy(*key).agg(F.min("__id").alias("__least"), F.max("__id").alias("__second"))
+        .filter("__least <> __second"),
+        n_stretches // 2,
     )
-    # A few rows per partition, whatever the input holds.
-    edges = found.filter("__border").select("__id", "__at", "__right", "__left").distinct()
-    edges = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_neighbours(False), found_type)
-    spans = found.filter("not __border").union(edges.filter("not __border")).select(
-        "__id", "__begin", "__end", "__other"
+    hits = stretches.select(*key, "__id", "__begin").join(shared, key).select(
+        "__id", "__begin",
+        F.when(F.col("__id") == F.col("__least"), F.col("__second"))
+        .otherwise(F.col("__least")).alias("__other"),
     )
-    inside = Window.partitionBy("__id").orderBy("__begin", "__end", "__other")
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.coalesce(F.col("__begin") > F.max("__end").over(before), F.lit(True))
+    inside = Window.partitionBy("__id").orderBy("__begin")
+    fresh = F.coalesce(F.col("__begin") - F.lag("__begin").over(inside) > MIN_WORDS, F.lit(True))
     merged = (
-        spans.groupBy("__id", "__begin", "__end").agg(F.min("__other").alias("__other"))
-        .withColumn("__fresh", fresh.cast("int"))
-        .withColumn("__span", F.sum("__fresh").over(inside))
+        hits.withColumn("__fresh", fresh.cast("int"))
+        .withColumn("__span", F.sum("__fresh").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(F.col("__id").alias(id_col), "__span")
         .agg(
-            F.min("__begin").alias("start_word"), F.max("__end").alias("end_word"),
+            F.min("__begin").alias("start_word"),
+            (F.max("__begin") + MIN_WORDS).alias("end_word"),
             F.min("__other").alias("partner_id"),
         )
         .select(
@@ -316,4 +178,4 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             (F.col("end_word") - F.col("start_word")).alias("n_words"), "partner_id",
         )
     )
-    return gathered(merged, n_found)
+    return gathered(merged, n_stretches)

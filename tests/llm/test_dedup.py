@@ -203,6 +203,26 @@ def test_spans_over_many_partitions(spark):
     assert {(r.doc_id, r.start_word, r.end_word) for r in got} == brute.spans(rows)
 
 
+def test_spans_with_words_on_both_sides_of_a_frequent_passage(spark):
+    """Many documents share 45 words; of each two, other 5 words before these are the same too.
+
+    The two stand apart by their words after the passage, so no bounded group of neighbours in
+    that order holds both.
+    """
+    draw = random.Random(10)
+    licence = prose(draw, 45, 10**6)
+    rows, pairs = [], 6_000
+    for i in range(pairs):
+        own = prose(draw, 5, 10**9)
+        for side, first in ((0, "a"), (1, "z")):
+            tail = [f"{first}{draw.randrange(10**9)}" for _ in range(25)]
+            rows.append((2 * i + side, " ".join(prose(draw, 20, 10**9) + own + licence + tail)))
+    got = suffix_dedup.repeated_spans(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.doc_id, r.start_word, r.end_word, r.partner_id) for r in got} == {
+        (i, 20, 70, i ^ 1) for i in range(2 * pairs)
+    }
+
+
 def test_spans_edge_tables(spark):
     assert suffix_dedup.repeated_spans(spark.createDataFrame([], SCHEMA)).count() == 0
     text = " ".join(f"v{i}" for i in range(80))
