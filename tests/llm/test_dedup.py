@@ -223,6 +223,23 @@ def test_spans_with_words_on_both_sides_of_a_frequent_passage(spark):
     }
 
 
+def test_spans_grow_right_where_the_left_is_whole(spark):
+    """Of a place, one partner has 40 words after it and none before it, one 28 and 24, and one
+    40 and 15, in all orders: the last one alone makes the span reach its end.
+    """
+    draw = random.Random(11)
+    rows = []
+    for _ in range(1_500):
+        base = prose(draw, 140, 10**9)
+        for part in (base, base[60:100], base[36:88], base[45:100]):
+            ws = part if part is base else prose(draw, 12, 10**9) + part + prose(draw, 12, 10**9)
+            rows.append((len(rows), " ".join(ws)))
+    got = suffix_dedup.repeated_spans(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = brute.spans(rows)
+    assert {(i, 36, 100) for i in range(0, len(rows), 4)} <= want
+    assert {(r.doc_id, r.start_word, r.end_word) for r in got} == want
+
+
 def test_spans_edge_tables(spark):
     assert suffix_dedup.repeated_spans(spark.createDataFrame([], SCHEMA)).count() == 0
     text = " ".join(f"v{i}" for i in range(80))
