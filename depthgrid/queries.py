@@ -359,16 +359,10 @@ def score_testset(spark, sf):
 
 
 def hyper_search_query(spark, sf):
-    """All five searched parameters; swarm, generations and rounds are small, as a full search is
-    56 fits of 100 to 500 rounds, hours on one machine.
-    """
+    """The whole search: 56 fits of 100 to 500 rounds."""
     rows = training_rows(spark, sf)
     sample = sampling.fraction_sample(rows, KEYS)
-    bounds = {
-        "max_depth": (2, 5), "learning_rate": (0.1, 0.5), "subsample": (0.5, 1.0),
-        "colsample_bytree": (0.5, 1.0), "n_estimators": (1, 4),
-    }
-    _, log = hyper_search(sample, FEATURES, SQUARED_CONFIG, KEYS, bounds, swarm=3, iterations=1)
+    _, log = hyper_search(sample, FEATURES, SQUARED_CONFIG, KEYS)
     return log
 
 

@@ -174,3 +174,27 @@ def test_missing_features_take_a_fixed_branch(rows):
 def test_search_without_validation_rows_is_refused(rows):
     with pytest.raises(ValueError, match="validation"):
         search.hyper_search(rows.filter("split = 'train'"), FEATURES, SQUARED_CONFIG, ["id"], {"max_depth": (1, 2), "n_estimators": (1, 2)}, swarm=1, iterations=0)
+
+
+def test_the_registered_search_is_the_whole_search(spark, rows, monkeypatch):
+    """Every candidate of the query: 56 points within the bounds of the configured search."""
+    from depthgrid import queries
+
+    points = []
+
+    def fit(table, features, params, keys, state=None):
+        points.append(params)
+        return type("Fit", (), {"history": [{"validation_rmse": float(len(points))}]})
+
+    monkeypatch.setattr(queries.sampling, "fraction_sample", lambda table, keys: table)
+    monkeypatch.setattr(search, "training_state", lambda *args: None)
+    monkeypatch.setattr(search, "fit_boosted", fit)
+    wide = rows
+    for name in [*queries.FEATURES, *queries.KEYS]:
+        if name not in wide.columns:
+            wide = wide.withColumn(name, F.lit(0.0))
+    monkeypatch.setattr(queries, "training_rows", lambda spark, sf: wide)
+    log = queries.QUERIES["hyper_search"](spark, "none").collect()
+    assert len(log) == len(points) == 56
+    for name, (low, high) in search.BOUNDS.items():
+        assert all(low <= r[name] <= high for r in log)
