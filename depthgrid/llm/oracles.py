@@ -113,3 +113,46 @@ ORACLES: dict[str, str] = {
         from shared join item on item.id = item_id where 100 * k >= 75 * n
     """,
 }
+
+def _clusters_sql(dims: int = 64, centroids: int = 40, rounds: int = 5) -> str:
+    """Rounds written out one after the other: assign, then the floor of each mean."""
+    parts = [
+        f"""with kept as (
+          select row_number() over () as r, vec_id,
+                 list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+          from embeddings
+          where len(embedding) = {dims} and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+        c0 as (
+          select row_number() over (order by sha256('2:' || vec_id), v) - 1 as c, v as m from kept
+          qualify row_number() over (order by sha256('2:' || vec_id), v) <= {centroids})"""
+    ]
+    for k in range(rounds + 1):
+        parts.append(
+            f"""a{k} as materialized (
+          select r, min(struct_pack(d := list_sum(list_transform(list_zip(v, m),
+                   lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c := c)) as best
+          from kept cross join c{k} group by r)"""
+        )
+        if k < rounds:
+            parts.append(
+                f"""s{k} as (
+          select a.best.c as c, i, sum(v[i])::bigint as s, count(*) as n
+          from a{k} a join kept using (r) cross join range(1, {dims + 1}) t(i) group by all),
+        c{k + 1} as materialized (
+          select o.c, coalesce(moved.m, o.m) as m from c{k} o left join (
+            select c, list((s - ((s % n) + n) % n) // n order by i) as m from s{k} group by c) moved
+          on moved.c = o.c)"""
+            )
+    parts.append(
+        f"""held as (
+          select a.best.c as c, sum(a.best.d)::bigint as cluster_inertia from a{rounds} a group by a.best.c)"""
+    )
+    return ", ".join(parts) + f"""
+        select vec_id, a.best.c::int as cluster, a.best.d::bigint as distance, cluster_inertia,
+               (select sum(cluster_inertia)::bigint from held) as inertia,
+               sha256(array_to_string(m, ',')) as centroid_sha256
+        from a{rounds} a join kept using (r) join held on held.c = a.best.c join c{rounds} on c{rounds}.c = a.best.c
+    """
+
+
+ORACLES["op13_centroids"] = _clusters_sql()

@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depthgrid.llm import (
+    centroids,
     decontaminate,
     exact_dedup,
     main_text,
     mixing,
     near_dedup,
     pii,
+    quality,
     suffix_dedup,
     token_count,
+    token_links,
     toxicity,
     warc,
 )
@@ -111,6 +114,31 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+def op11_quality(spark, sf_dir):
+    scored = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        F.col("__id").alias("doc_id"),
+        quality.held_out(F.col("__id")).alias("held_out"),
+        F.col("__score").alias("score"),
+        (F.col("__score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op12_token_links(spark, sf_dir):
+    import public_tokenizers
+
+    return token_links.align_tokens(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def op13_centroids(spark, sf_dir):
+    found = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_main_text": op2_main_text,
@@ -122,4 +150,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_decontaminate": op10_decontaminate,
+    "op11_quality": op11_quality,
+    "op12_token_links": op12_token_links,
+    "op13_centroids": op13_centroids,
 }
