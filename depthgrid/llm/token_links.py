@@ -8,8 +8,8 @@ counted in a vector as long as the A vocabulary; only the other links enter a sh
 
 Texts are cut at single spaces between two characters that are not white space. No token of A
 crosses such a place (its splitter never joins white space to what stands before it), and none of B
-(checked once: no piece has a space after another character), so parts are encoded alone, each
-distinct part of a slice once, and recent parts are remembered. Parts of a very long text are read
+(checked once: no piece has a space after another character), so the distinct new parts of a slice
+are encoded together, with a space between them, and parts are remembered. Parts of a very long text are read
 PIECE characters at a time.
 
 Corpus counts come from one stored row per document with its distinct links. The best count of a B
@@ -32,7 +32,6 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +44,10 @@ from depthgrid.llm.shared import counted, stored
 
 #: Characters of a text that are read at once, and characters of texts that are counted together.
 PIECE, SLICE = 1 << 20, 1 << 21
-#: Parts remembered by a worker (twice this many at most), and the longest of them.
-PARTS, PART_CHARS = 60_000, 60
+#: Parts after which a worker forgets all; those of one slice more may be remembered.
+PARTS = 200_000
+#: New parts that are encoded as one text.
+TOGETHER = 1000
 #: Pairs that go to every task: 12 bytes each.
 HEAVY = 200_000
 #: Counts of the A vocabulary that travel in one row.
@@ -66,17 +67,6 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-class Part(NamedTuple):
-    """What a part adds to its text: groups as text, numbers, and the code of every link."""
-
-    groups: str
-    n_a: int
-    n_b: int
-    n_groups: int
-    codes: tuple
-    sound: bool
-
-
 class Pair:
     """Both tokenizers, the bytes of their tokens, and the map from A ids to B ids of equal bytes."""
 
@@ -109,9 +99,20 @@ class Pair:
                 cuttable &= SPACE not in piece.lstrip(SPACE)
         self.cuttable = cuttable
         self.same = np.array([first.get(b, -1) if b else -1 for b in self.a_bytes], np.int64)
-        self.a_len, self.b_len = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
-        self.young: dict[str, Part] = {}
-        self.old: dict[str, Part] = {}
+        self.a_len, self.b_len = (np.array([len(x) for x in side]) for side in (self.a_bytes, self.b_bytes))
+        self.plain = [f"{a}|{b}" for a, b in enumerate(self.same.tolist())]
+        self.forget()
+
+    def forget(self) -> None:
+        """Remembered parts: their places, groups as text, numbers, and link codes one after the other."""
+        self.place: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.numbers = np.zeros((0, 4), np.int64)  # A tokens, B tokens, groups, whether the bytes differ
+        self.starts = np.zeros(1, np.int64)
+        self.codes = np.zeros(0, np.int64)
+        self._fresh: list[tuple] = []
+        self._parts: list[tuple] = []
+        self._total = 0
 
     def cut(self, text: str) -> list[str]:
         return _CUT.split(text) if self.cuttable else [text]
@@ -127,57 +128,90 @@ class Pair:
             begin = found.end()
         yield text[begin:] if begin else text
 
-    def _align(self, text: str, a: Sequence[int], b: Sequence[int]) -> Part:
-        whole = (" " + text).encode()
-        a_size, b_size = self.a_len, self.b_len
-        sound = b"".join([self.a_bytes[x] for x in a]) == whole == b"".join([self.b_bytes[x] for x in b])
+    def _encode(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Ids of both for a text, and whether the joined bytes of both are space + text."""
+        whole = " " + text
+        a = self.a.encode_batch_fast([whole], add_special_tokens=False)[0].ids
+        b = self.b.encode(text)
+        raw = whole.encode()
+        sound = b"".join([self.a_bytes[x] for x in a]) == raw == b"".join([self.b_bytes[x] for x in b])
+        return np.array(a, np.int64), np.array(b, np.int64), sound
+
+    def _align(self, texts: Sequence[str]) -> None:
+        """Remember the parts ``texts``, encoded as one text of parts with a space between them."""
+        a, b, sound = self._encode(" ".join(texts))
         if not sound:
-            return Part("", 0, 0, 0, (), False)
-        groups, codes = [], []
-        i = j = 0
-        while i < len(a):
-            first_i, first_j = i, j
-            left, right = a_size[a[i]], b_size[b[j]]
-            while left != right:
-                if left < right:
-                    i += 1
-                    left += a_size[a[i]]
-                else:
-                    j += 1
-                    right += b_size[b[j]]
-            codes.append(a[i] << _CODE | b[j])
-            i += 1
-            j += 1
-            if i - first_i == 1 == j - first_j:
-                groups.append(f"{a[first_i]}|{b[first_j]}")
+            if len(texts) > 1:  # find the parts whose bytes differ
+                middle = len(texts) // 2
+                self._align(texts[:middle])
+                self._align(texts[middle:])
             else:
-                groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-        return Part(";".join(groups), len(a), len(b), len(codes), tuple(codes), True)
-
-    def parts(self, texts: Sequence[str]) -> list[Part]:
-        """Parts of distinct texts; new ones are encoded together."""
-        found: list[Part | None] = []
-        new = []
-        for n, text in enumerate(texts):
-            part = self.young.get(text)
-            if part is None:
-                part = self.old.get(text)
-                if part is None:
-                    new.append(n)
-                else:
-                    self.young[text] = part
-            found.append(part)
+                self._add(texts, [""], np.array([[0, 0, 0, 1]]), np.zeros(1, np.int64), np.zeros(0, np.int64))
+            return
+        a_end, b_end = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        at = np.searchsorted(b_end, a_end)
+        both = b_end[at] == a_end  # the last ends are equal, so no place is beyond the array
+        last_a, last_b = np.flatnonzero(both), at[both]
+        code = a[last_a] << _CODE | b[last_b]
+        n_a, n_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        names = [
+            self.plain[x] if same else f"{x}|{y}"
+            for x, y, same in zip(a[last_a].tolist(), b[last_b].tolist(), (self.same[a[last_a]] == b[last_b]).tolist())
+        ]
+        left, right = a.tolist(), b.tolist()
+        for g in np.flatnonzero((n_a > 1) | (n_b > 1)).tolist():
+            i, j = int(last_a[g]) + 1, int(last_b[g]) + 1
+            names[g] = (
+                ",".join(map(str, left[i - n_a[g] : i])) + "|" + ",".join(map(str, right[j - n_b[g] : j]))
+            )
+        size = np.array([len(t.encode()) + 1 for t in texts])
+        upto = np.searchsorted(a_end[last_a], np.cumsum(size)) + 1  # groups up to each part's end
+        starts = np.concatenate([[0], upto])
+        ends = starts.tolist()
+        numbers = np.column_stack(
+            [
+                np.diff(np.concatenate([[0], np.cumsum(n_a)])[starts]),
+                np.diff(np.concatenate([[0], np.cumsum(n_b)])[starts]),
+                np.diff(starts),
+                np.zeros(len(texts), np.int64),
+            ]
+        )
+        self._add(texts, [";".join(names[x:y]) for x, y in zip(ends, ends[1:])], numbers, upto, code)
+
+    def _add(self, texts, groups, numbers, upto, codes) -> None:
+        self.place.update(zip(texts, range(len(self.groups), len(self.groups) + len(texts))))
+        self.groups += groups
+        self._fresh.append((numbers, upto, codes))
+
+    def _join(self) -> None:
+        """What was added to the arrays since the last call, at once."""
+        for numbers, upto, codes in self._fresh:
+            self._total, upto = self._total + len(codes), upto + self._total
+            self._parts.append((numbers, upto, codes))
+        if self._fresh:
+            numbers, starts, codes = zip(*self._parts)
+            self.numbers = np.concatenate(numbers)
+            self.starts = np.concatenate([np.zeros(1, np.int64), *starts])
+            self.codes = np.concatenate(codes)
+            self._parts = [(self.numbers, self.starts[1:], self.codes)]
+            self._fresh = []
+
+    def places(self, parts: list[str]) -> np.ndarray:
+        """Places of the parts among the remembered ones; new ones are encoded together."""
+        if len(self.place) > PARTS:
+            self.forget()
+        new = [p for p, known in zip(parts, map(self.place.get, parts)) if known is None]
         if new:
-            fresh = [texts[n] for n in new]
-            a = self.a.encode_batch_fast([" " + t for t in fresh], add_special_tokens=False)
-            b = self.b.encode(fresh, num_threads=1)
-            for n, text, own_a, own_b in zip(new, fresh, a, b):
-                found[n] = part = self._align(text, own_a.ids, own_b)
-                if len(text) <= PART_CHARS:
-                    self.young[text] = part
-        if len(self.young) > PARTS:
-            self.old, self.young = self.young, {}
-        return found
+            # White space at an edge would run together with the space between two parts.
+            fresh = list(dict.fromkeys(new))
+            alone = {p for p in fresh if p[0].isspace() or p[-1].isspace() or SPACE in p}
+            together = [p for p in fresh if p not in alone]
+            for begin in range(0, len(together), TOGETHER):
+                self._align(together[begin : begin + TOGETHER])
+            for p in sorted(alone):
+                self._align([p])
+            self._join()
+        return np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
 
     def joined_right(self, text: str) -> bool:
         """Whether the tokens' joined bytes are space + text although those of a part are not."""
@@ -210,26 +244,27 @@ def _texts(pair: Pair, texts: list[str | None]) -> tuple[list[tuple], list[np.nd
     chars = 0
 
     def settle_waiting() -> None:
-        place: dict[str, int] = {}
-        numbered = [(t, np.array([place.setdefault(p, len(place)) for p in cut])) for t, cut in waiting]
-        parts = pair.parts(list(place))
-        starts = np.concatenate([[0], np.cumsum([len(p.codes) for p in parts])])
-        flat = np.array([c for p in parts for c in p.codes], np.int64)
-        numbers = np.array([(p.n_a, p.n_b, p.n_groups, not p.sound) for p in parts], np.int64)
-        strings = [p.groups for p in parts]
-        for t, own in numbered:
-            total = numbers[own].sum(axis=0)
+        if not waiting:
+            return
+        places = pair.places([p for _, cut in waiting for p in cut])
+        ends = np.cumsum([len(cut) for _, cut in waiting])
+        begins = ends - [len(cut) for _, cut in waiting]
+        totals = np.add.reduceat(pair.numbers[places], begins, axis=0).tolist()
+        sizes = pair.starts[places + 1] - pair.starts[places]
+        link_ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(link_ends[-1]) + np.repeat(pair.starts[places] - link_ends[:-1], sizes)
+        codes = pair.codes[at]
+        named, groups = places.tolist(), pair.groups
+        for (t, _), first, end, (n_a, n_b, n_groups, differ) in zip(waiting, begins.tolist(), ends.tolist(), totals):
             text = sums[t]
             if text.n_groups:
                 text.digest.update(b";")
-            text.digest.update(";".join([strings[p] for p in own.tolist()]).encode())
-            text.n_a += int(total[0])
-            text.n_b += int(total[1])
-            text.n_groups += int(total[2])
-            text.sound &= not total[3]
-            sizes = starts[own + 1] - starts[own]
-            at = np.arange(sizes.sum()) + np.repeat(starts[own] - (np.cumsum(sizes) - sizes), sizes)
-            links[t].append(flat[at])
+            text.digest.update(";".join([groups[p] for p in named[first:end]]).encode())
+            text.n_a += n_a
+            text.n_b += n_b
+            text.n_groups += n_groups
+            text.sound &= not differ
+            links[t].append(codes[link_ends[first] : link_ends[end]])
 
     for t, text in enumerate(texts):
         for piece in pair.pieces(text) if text else ():
@@ -247,9 +282,13 @@ def _texts(pair: Pair, texts: list[str | None]) -> tuple[list[tuple], list[np.nd
         done = sums[t]
         if text and not done.sound and pair.joined_right(text):
             # Bytes that differ in one part and are made up for in another: the whole text at once.
-            part = pair._align(text, pair.a.encode(" " + text, add_special_tokens=False).ids, pair.b.encode(text))
-            done = _Text(hashlib.sha256(part.groups.encode()), part.n_a, part.n_b, part.n_groups, part.sound)
-            links[t] = [np.array(part.codes, np.int64)]
+            pair.forget()
+            pair._align([text])
+            pair._join()
+            n_a, n_b, n_groups, differ = pair.numbers[0].tolist()
+            done = _Text(hashlib.sha256(pair.groups[0].encode()), n_a, n_b, n_groups, not differ)
+            links[t] = [pair.codes]
+            pair.forget()
         if not text or not done.sound:
             rows.append((0, 0, 0, ""))
             codes.append(none)
