@@ -8,7 +8,7 @@ from depthgrid.models.boosting import BoostedModel
 from depthgrid.models.params import load_config
 from depthgrid.operators.describe import describe_numeric, table_shape
 from depthgrid.plans import evaluate, prepare, train
-from depthgrid.schema import PAIR, PIXEL, TARGET
+from depthgrid.schema import BASELINE, PAIR, PIXEL, PREDICTED, TARGET
 from depthgrid.session import build_session
 from depthgrid.sources import tables
 
@@ -25,15 +25,26 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--log_target", action="store_true", help="the model was fitted on log depths")
         return sub
 
-    step("prepare", "cells", "layers", "output", log=False).add_argument("--test_size", type=float, default=0.3)
-    step("prepare-benchmark", "cells", "layers", "output", log=False)
+    for name in ("prepare", "prepare-benchmark"):
+        make = step(name, "output", log=False)
+        make.add_argument("--input", help="folder of rasters; else give --cells and --layers")
+        make.add_argument("--cells")
+        make.add_argument("--layers")
+        if name == "prepare":
+            make.add_argument("--test_size", type=float, default=0.3)
     step("describe", "input", "target", "output", log=False)
     for name in ("train", "train-search"):
         fit = step(name, "input", "output", "config")
         fit.add_argument("--target", default=TARGET)
         if name == "train-search":
             fit.add_argument("--sample_frac", type=float, default=0.1)
-    step("predict", "model", "input", "output")
+    score = step("predict", "model")
+    tests = score.add_mutually_exclusive_group(required=True)
+    tests.add_argument("--input", help="test sets as prepare writes them")
+    tests.add_argument("--root_dir", help="folder with {huc8}/{period}_test.parquet at any depth")
+    where = score.add_mutually_exclusive_group(required=True)
+    where.add_argument("--output")
+    where.add_argument("--staged", help="replace the test sets of --input, by way of this folder")
     step("evaluate", "model", "benchmark", "output").add_argument("--target", default=TARGET)
     for name in ("metrics", "classify", "density"):
         report = step(name, "input", "output", log=False)
@@ -66,13 +77,7 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"depthgrid {args.step}")
     if args.step in ("prepare", "prepare-benchmark"):
-        cells, layers = tables.load_cells(spark, args.cells), tables.load_layers(spark, args.layers)
-        if args.step == "prepare":
-            prepared = prepare.prepare(cells, layers, args.output, test_share=args.test_size)
-            _store(prepared.counts, f"{args.output}/counts")
-            _store(prepared.skipped, f"{args.output}/skipped")
-        else:
-            prepare.prepare_benchmarks(cells, layers, args.output)
+        _prepare(spark, args)
     elif args.step == "describe":
         rows = spark.read.parquet(args.input)
         _store(table_shape(rows), f"{args.output}/shape")
@@ -87,8 +92,7 @@ def main(argv: list[str] | None = None) -> None:
         trained.model.save(spark, args.output)
         _store(trained.report, f"{args.output}/report")
     elif args.step == "predict":
-        model = BoostedModel.load(spark, args.model)
-        evaluate.predict(spark, model, args.input, args.output, args.log_target)
+        _predict(spark, args)
     elif args.step == "evaluate":
         model = BoostedModel.load(spark, args.model)
         metrics, average = evaluate.evaluate_benchmarks(
@@ -105,15 +109,51 @@ def main(argv: list[str] | None = None) -> None:
         )
         _write_panels(panels, args.output)
     else:
-        scored = tables.load_pixels(spark, args.input)
+        needed = [TARGET, BASELINE if getattr(args, "owp_plot", False) else PREDICTED]
+        if args.step == "metrics":
+            needed = [TARGET, PREDICTED, BASELINE]
+        scored, skipped = tables.load_complete(spark, args.input, needed)
         unlog = {"unlog_truth": args.unlog_truth, "unlog_prediction": args.unlog_prediction}
         if args.step == "metrics":
-            evaluate.metrics_report(scored, **unlog).write.parquet(args.output)
+            _store(evaluate.metrics_report(scored, **unlog, strict=args.strict), args.output)
         elif args.step == "classify":
             for name, table in evaluate.classification_report(scored, **unlog).items():
-                table.write.parquet(f"{args.output}/{name}")
+                _store(table, f"{args.output}/{name}")
         else:
             _write_panels(evaluate.density_report(scored, args.owp_plot, **unlog), args.output)
+        _store(skipped, f"{args.output}-skipped")
+
+
+def _prepare(spark, args) -> None:
+    if bool(args.input) == bool(args.cells and args.layers):
+        raise SystemExit("give --input, or --cells and --layers")
+    if args.step == "prepare":
+        if args.input:
+            prepared = prepare.prepare_folder(spark, args.input, args.output, test_share=args.test_size)
+        else:
+            cells, layers = tables.load_cells(spark, args.cells), tables.load_layers(spark, args.layers)
+            prepared = prepare.prepare(cells, layers, args.output, test_share=args.test_size)
+        _store(prepared.counts, f"{args.output}/counts")
+        _store(prepared.skipped, f"{args.output}/skipped")
+    elif args.input:
+        prepare.prepare_benchmark_folder(spark, args.input, args.output)
+    else:
+        prepare.prepare_benchmarks(
+            tables.load_cells(spark, args.cells), tables.load_layers(spark, args.layers), args.output
+        )
+
+
+def _predict(spark, args) -> None:
+    if args.staged and args.root_dir:
+        raise SystemExit("--staged replaces partitions of --input only")
+    model = BoostedModel.load(spark, args.model)
+    if args.staged:
+        skipped = evaluate.predict_in_place(spark, model, args.input, args.staged, args.log_target)
+    elif args.root_dir:
+        skipped = evaluate.predict_folder(spark, model, args.root_dir, args.output, args.log_target)
+    else:
+        skipped = evaluate.predict(spark, model, args.input, args.output, args.log_target)
+    _store(skipped, f"{args.output or args.staged}-skipped")
 
 
 if __name__ == "__main__":

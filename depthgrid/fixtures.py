@@ -6,6 +6,9 @@ The values are formulas over table columns, chosen so that every rule has rows t
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,3 +231,38 @@ def event_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('EVT_', event_type) as huc8", "'live' as return_period",
         "cast(event_id as string) as pixel_id", "value / 12.0D as owp_hand_fim", "value / 10.0D as flood_depth",
     )
+
+
+#: Names of the stored rasters' files by period: baseline and depth. The depths of "5yr" are absent.
+RASTER_NAMES = {
+    "10yr": ("10yr_{huc8}_depth.tif", "fim_10yr_m_final.tif"),
+    "50yr": ("50yr.tif", "50yr_{huc8}_depth.tif"),
+}
+
+
+def write_rasters(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """``raster_cells`` as a folder of rasters, with rasters that discovery has to pass over."""
+    cells = raster_cells(spark, sf_dir).withColumns(
+        {"n_rows": F.lit(100), "n_cols": F.lit(100), "nodata": F.lit(SENTINEL)}
+    )
+    watersheds = [row["huc8"] for row in raster_layers(spark, sf_dir).select("huc8").distinct().collect()]
+    jobs = []
+    for huc8 in watersheds:
+        own = cells.filter(F.col("huc8") == huc8)
+        for layer in SHARED_LAYERS:
+            jobs.append((own.filter((F.col("layer") == layer) & F.col("return_period").isNull()), f"{huc8}/{layer}.tif"))
+        for period, names in RASTER_NAMES.items():
+            for layer, name in zip(PERIOD_LAYERS, names):
+                rows = own.filter((F.col("layer") == layer) & (F.col("return_period") == period))
+                jobs.append((rows, f"{huc8}/{layer}/{name.format(huc8=huc8)}"))
+        first = own.filter((F.col("layer") == "owp_hand_fim") & (F.col("return_period") == "10yr"))
+        # A depth raster of lesser name than the one above, and a baseline without any.
+        jobs.append((first.withColumn("value", F.lit(1e6).cast("float")), f"{huc8}/flood_depth/fim_10yr.tif"))
+        jobs.append((first, f"{huc8}/owp_hand_fim/5yr.tif"))
+
+    def write(job: tuple) -> None:
+        rows, place = job
+        rows.select("pixel_id", "value", "n_rows", "n_cols", "nodata").write.parquet(f"{root}/{place}")
+
+    with ThreadPool(8) as pool:
+        pool.map(inheritable_thread_target(spark)(write), jobs, 1)

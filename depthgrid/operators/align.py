@@ -97,16 +97,20 @@ def align_pixels(
     own: DataFrame,
     shared: DataFrame,
     pixel: Sequence[str] = PIXEL,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Join the period layers with the shared layers of the same watershed by pixel.
 
     Both sides are partitioned once by (huc8, pixel); the two aggregations and the join all
     reuse that partitioning, so every cell crosses the network once and the shared layers
-    are shuffled once for all periods. The keys are single pixels, so no key is hot.
+    are shuffled once for all periods. The keys are single pixels, so no key is hot. Cells of a
+    ``bucketed`` table are partitioned that way where they lie and are not moved at all.
     """
     place = ["huc8", *pixel]
-    own_cells = own.select(*place, "return_period", "layer", "value").repartition(*place)
-    shared_cells = shared.select(*place, "layer", "value").repartition(*place)
+    own_cells = own.select(*place, "return_period", "layer", "value")
+    shared_cells = shared.select(*place, "layer", "value")
+    if not bucketed:
+        own_cells, shared_cells = own_cells.repartition(*place), shared_cells.repartition(*place)
     return _wide(own_cells, [*place, "return_period"], PERIOD_LAYERS).join(
         _wide(shared_cells, place, SHARED_LAYERS), place
     )
@@ -126,9 +130,12 @@ def derive_aspect(rows: DataFrame, column: str = "aspect") -> DataFrame:
 
 
 def pixel_table(
-    cells: DataFrame, layers: DataFrame, pixel: Sequence[str] = PIXEL
+    cells: DataFrame, layers: DataFrame, pixel: Sequence[str] = PIXEL, bucketed: bool = False
 ) -> DataFrame:
-    """Feature rows of every valid pair, from the long cell table and its layer table."""
+    """Feature rows of every valid pair, from the long cell table and its layer table.
+
+    ``bucketed`` says that ``cells`` is a table bucketed by (huc8, pixel) and nothing else.
+    """
     pairs = settle(shape_check(layers))
     sentinels = settle(layers.select(*PAIR, "layer", F.col("nodata").cast("double").alias("nodata")))
     own_nodata = Settled(
@@ -167,7 +174,7 @@ def pixel_table(
         "left_semi",
     )
     shared = impute_mean(shared, layer_facts(shared, shared_nodata))
-    aligned = align_pixels(own, shared, pixel)
+    aligned = align_pixels(own, shared, pixel, bucketed)
     # A masked baseline became NULL above, so dropping incomplete rows also applies the mask.
     return select_pixel_columns(derive_aspect(aligned).na.drop(), pixel)
 

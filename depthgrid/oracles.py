@@ -373,3 +373,13 @@ ORACLES["skipped_pairs"] = f"""select huc8, return_period, 'no depth raster' rea
     from ({ORACLES['flood_file_match']}) where flood_path is null
   union all select concat('H', o_custkey), concat(o_orderkey, 'yr'), 'layers missing or of different shape' from orders
     where not (o_orderkey % 11 <> 0 and o_custkey % 13 <> 0 and o_custkey % 17 <> 0)"""
+
+ORACLES["pixel_table_bucketed"] = ORACLES["pixel_table"]
+ORACLES["predict_in_place"] = ORACLES["boost_stump_squared"]
+ORACLES["predict_folder"] = f"""select *, null::varchar as lacking from ({ORACLES["boost_stump_squared"]})
+  where huc8 <> 'HUC_A'
+  union all select distinct 'HUC_A', l_linestatus, null::double, null::bigint, null::double, null::double, 'lulc'
+  from lineitem where l_returnflag = 'A'"""
+ORACLES["prepare_folder"] = f"""select *, null::varchar as reason from ({ORACLES["prepare_tables"]})
+  union all select distinct concat('HUC_', l_returnflag), '5yr', null::bigint, null::bigint, null::double,
+    null::double, 'no depth raster' from lineitem"""

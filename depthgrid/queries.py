@@ -127,6 +127,14 @@ def pixel_table(spark, sf):
     return _rounded(rows, 4)
 
 
+def pixel_table_bucketed(spark, sf):
+    """The pixel table from cells that were stored in buckets of pixels."""
+    folder = fresh_path(spark)
+    name = f"cells_{folder.rsplit('/', 1)[1]}"
+    cells = tables.store_bucketed(fx.raster_cells(spark, sf), name, folder, 8, KEYS)
+    return _rounded(align.pixel_table(cells, fx.raster_layers(spark, sf), KEYS, bucketed=True), 4)
+
+
 def pixel_align(spark, sf):
     cells = fx.raster_cells(spark, sf)
     return _rounded(
@@ -386,7 +394,15 @@ def _stump_scores(spark, sf, config) -> DataFrame:
     tables.write_test_sets(rows.drop("label", "split"), f"{folder}/test")
     loaded = BoostedModel.load(spark, f"{folder}/model")
     evaluate.predict(spark, loaded, f"{folder}/test", f"{folder}/scored")
-    scored = tables.load_pixels(spark, f"{folder}/scored")
+    return _score_groups(tables.load_pixels(spark, f"{folder}/scored"))
+
+
+def _stump_folder(spark, sf) -> tuple[DataFrame, BoostedModel, str]:
+    rows, model = _stump(spark, sf, SQUARED_CONFIG)
+    return rows.drop("label", "split"), model, fresh_path(spark)
+
+
+def _score_groups(scored: DataFrame) -> DataFrame:
     return _rounded(
         scored.groupBy(*PAIR, "lulc").agg(
             F.count(F.lit(1)).alias("n"),
@@ -396,6 +412,27 @@ def _stump_scores(spark, sf, config) -> DataFrame:
     )
 
 
+def predict_folder(spark, sf):
+    """Test tables at their places in a folder, one watershed's without a feature, found and scored."""
+    rows, model, folder = _stump_folder(spark, sf)
+    for row in rows.select(*PAIR).distinct().collect():
+        own = rows.filter((F.col("huc8") == row["huc8"]) & (F.col("return_period") == row["return_period"]))
+        own = own.drop(*PAIR, *(["lulc"] if row["huc8"] == "HUC_A" else []))
+        own.write.parquet(f"{folder}/sets/{row['huc8']}/{row['return_period']}_test.parquet")
+    skipped = evaluate.predict_folder(spark, model, f"{folder}/sets", f"{folder}/scored")
+    scored = _score_groups(tables.load_pixels(spark, f"{folder}/scored"))
+    lacking = skipped.select(*PAIR, F.array_join("lacking", ",").alias("lacking"))
+    return scored.unionByName(lacking, allowMissingColumns=True)
+
+
+def predict_in_place(spark, sf):
+    """Test sets scored, staged and put in their own place; read from there."""
+    rows, model, folder = _stump_folder(spark, sf)
+    tables.write_test_sets(rows, f"{folder}/test")
+    evaluate.predict_in_place(spark, model, f"{folder}/test", f"{folder}/staged")
+    return _score_groups(tables.load_pixels(spark, f"{folder}/test"))
+
+
 def boost_stump_squared(spark, sf):
     return _stump_scores(spark, sf, SQUARED_CONFIG)
 
@@ -418,6 +455,18 @@ def boost_stump_history(spark, sf):
 def prepare_tables(spark, sf):
     folder = fresh_path(spark)
     prepare.prepare(fx.raster_cells(spark, sf), fx.raster_layers(spark, sf), folder, KEYS)
+    return _prepared_totals(spark, folder)
+
+
+def prepare_folder(spark, sf):
+    """Rasters stored at their places in a folder: found, matched, read, prepared; the rest with reasons."""
+    folder = fresh_path(spark)
+    fx.write_rasters(spark, sf, f"{folder}/rasters")
+    done = prepare.prepare_folder(spark, f"{folder}/rasters", f"{folder}/out", KEYS)
+    return _prepared_totals(spark, f"{folder}/out").unionByName(done.skipped, allowMissingColumns=True)
+
+
+def _prepared_totals(spark, folder) -> DataFrame:
     test, train = tables.load_pixels(spark, f"{folder}/test"), spark.read.parquet(f"{folder}/train")
     both = test.withColumn("side", F.lit("test")).unionByName(train.withColumn("side", F.lit("train")))
     depth = F.col(TARGET).cast("double")
@@ -473,7 +522,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         pair_discovery, period_from_name, flood_file_match, load_layers, benchmark_match, path_columns,
         shape_check, owp_mask, flood_fill_zero, layer_mean_impute, aspect_sincos, drop_missing,
-        pixel_table, pixel_align, feature_projection, coerce_target, cap_target, log_target, unlog,
+        pixel_table, pixel_table_bucketed, pixel_align, feature_projection, coerce_target, cap_target, log_target, unlog,
         nan_to_zero, nan_to_finite, depth_filter, nan_audit,
         balance_classes, depth_strata, drop_rare_strata, stratified_split, random_split,
         fraction_sample, shuffle_rows,
@@ -482,7 +531,7 @@ QUERIES: dict[str, Query] = {
         best_f1_threshold, pr_auc, pr_vs_threshold, hexbin_density, ols_line, union_pairs,
         boost_squared, boost_tweedie, boost_history, score_testset,
         boost_stump_squared, boost_stump_tweedie, boost_stump_history,
-        prepare_tables, skipped_pairs, benchmark_report, scored_report, mixed_folder, density_baseline,
+        prepare_tables, prepare_folder, predict_folder, predict_in_place, skipped_pairs, benchmark_report, scored_report, mixed_folder, density_baseline,
     )
 }
 QUERIES["hyper_search"] = hyper_search_query

@@ -18,6 +18,7 @@ def build_session(app: str = "depthgrid", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.scheduler.mode", "FAIR")
     )
     if master:
         builder = builder.master(master)

@@ -1,9 +1,12 @@
+import math
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from depthgrid.models import boosting, search
+from depthgrid.models import boosting, codes, search
 from depthgrid.models.params import SQUARED_CONFIG, TWEEDIE_CONFIG, BoostParams
 from depthgrid.operators.regression import regression_report
 
@@ -44,9 +47,7 @@ def test_first_round_is_the_regularised_newton_step(rows):
     p = params(SQUARED_CONFIG, n_estimators=1, max_depth=1, reg_lambda=50.0, reg_alpha=20.0, learning_rate=1.0, early_stopping_rounds=None)
     model = boosting.fit_boosted(rows, FEATURES, p, ["id"])
     train = rows.filter("split = 'train'").toPandas()
-    node = model.trees.trees[0].toDebugString
-    feature = int(node.split("feature ")[1].split(" ")[0])
-    threshold = float(node.split("<= ")[1].split(")")[0])
+    feature, threshold = model.trees[0][0].feature, model.trees[0][0].cut
     left = train[FEATURES[feature]] <= threshold
     expected = []
     for side in (left, ~left):
@@ -60,9 +61,8 @@ def test_step_limit_and_feature_subset(rows):
     p = params(TWEEDIE_CONFIG, max_delta_step=0.1, colsample_bytree=0.34, n_estimators=3)
     model = boosting.fit_boosted(rows, FEATURES, p, ["id"])
     assert max(abs(w) for ws in model.leaf_weights for w in ws) <= 0.1 * p.learning_rate + 1e-12
-    for tree in model.trees.trees:
-        used = {line.split("feature ")[1].split(" ")[0] for line in tree.toDebugString.splitlines() if "feature" in line}
-        assert len(used) <= 1
+    for tree in model.trees:
+        assert len({node.feature for node in tree if node.feature >= 0}) <= 1
 
 
 def test_early_stop_on_a_plateau(rows):
@@ -130,12 +130,11 @@ def test_unknown_parameter_is_refused():
 
 
 def test_gamma_prunes_from_the_bottom():
-    shape = boosting.tree_shape(
-        "Tree\n  If (feature 0 <= 0.5)\n   If (feature 1 <= 0.1)\n    Predict: 1.0\n   Else (feature 1 > 0.1)\n"
-        "    Predict: 2.0\n  Else (feature 0 > 0.5)\n   Predict: 3.0\n"
-    )
+    leaf = boosting.Node(-1, 0.0, -1, -1, 0.0)
+    tree = [boosting.Node(0, 0.5, 1, 4, 0.0), boosting.Node(1, 0.1, 2, 3, 0.0), leaf, leaf, leaf]
+    shape = boosting.tree_shape(tree)
     assert shape == ((0, 1), 2) and boosting.tree_leaves(shape) == 3
-    assert boosting.tree_shape("Tree\n  Predict: 1.0\n") == 0
+    assert boosting.tree_shape([leaf]) == 0
     sums = {0: (-10.0, 10.0), 1: (-11.0, 10.0), 2: (30.0, 10.0)}
 
     def groups(gamma, **changes):
@@ -182,7 +181,7 @@ def test_the_registered_search_is_the_whole_search(spark, rows, monkeypatch):
 
     points = []
 
-    def fit(table, features, params, keys, state=None):
+    def fit(table, features, params, keys, state=None, store=None):
         points.append(params)
         return type("Fit", (), {"history": [{"validation_rmse": float(len(points))}]})
 
@@ -198,3 +197,166 @@ def test_the_registered_search_is_the_whole_search(spark, rows, monkeypatch):
     assert len(log) == len(points) == 56
     for name, (low, high) in search.BOUNDS.items():
         assert all(low <= r[name] <= high for r in log)
+
+
+# ------------------------------------------------------------------ codes, stored fits, stored searches
+
+
+def test_codes_are_places_among_the_cuts(spark):
+    nan, inf = float("nan"), float("inf")
+    odd = [nan, None, inf, -inf, 0.0, -0.0, 1e-300]
+    values = odd + [float(v) for v in np.random.default_rng(1).normal(size=3000)]
+    frame = spark.createDataFrame(
+        [(n, v, float(n % 5), 7.0, None if n else nan) for n, v in enumerate(values)],
+        "id long, x double, few double, one double, none double",
+    )
+    names = ["x", "few", "one", "none"]
+    found = codes.cut_points(frame, names, 64)
+    assert 40 <= len(found.cuts[0]) <= 62 and found.cuts[1] == [0.5, 1.5, 2.5, 3.5]
+    assert found.cuts[2] == [7.0] and found.cuts[3] == [0.0] and found.bins <= 64
+    for row in codes.coded(frame, found).collect():
+        for name, code, cuts in zip(names, found.columns, found.cuts):
+            value = row[name]
+            missing = value is None or math.isnan(value)
+            assert row[code] == (len(cuts) + 1 if missing else np.searchsorted(cuts, value, side="left")), (name, value)
+            for k, cut in enumerate(cuts):  # a split of codes is the split of values at its cut
+                assert (row[code] <= k + 0.5) == (not missing and value <= found.cut_below(names.index(name), k + 0.5))
+
+
+def test_few_values_are_cut_apart_and_quantiles_are_even(spark):
+    frame = spark.range(10_000).selectExpr("cast(id as double) as x", "cast(id % 200 as float) as y")
+    found = codes.cut_points(frame, ["x", "y"], 256)
+    assert len(found.cuts[0]) == 254 and len(found.cuts[1]) == 199
+    sizes = np.diff([0, *found.cuts[0], 9_999])
+    assert sizes.min() > 30 and sizes.max() < 50
+
+
+class Interrupted(Exception):
+    pass
+
+
+@pytest.mark.parametrize("config", [TWEEDIE_CONFIG, SQUARED_CONFIG])
+def test_a_stopped_fit_goes_on_to_the_same_model(rows, tmp_path, monkeypatch, config):
+    p = params(config, n_estimators=8, subsample=0.7, colsample_bytree=0.7, early_stopping_rounds=6)
+    whole = boosting.fit_boosted(rows, FEATURES, p, ["id"], settle_every=3)
+    store, added = str(tmp_path / "fit"), boosting._after
+    rounds = []
+
+    def after(course, *rest):
+        if course.round == 7 and len(rounds) < 8:
+            raise Interrupted
+        rounds.append(course.round)
+        added(course, *rest)
+
+    monkeypatch.setattr(boosting, "_after", after)
+    with pytest.raises(Interrupted):
+        boosting.fit_boosted(rows, FEATURES, p, ["id"], settle_every=3, store=store)
+    rounds.append(None)
+    again = boosting.fit_boosted(rows, FEATURES, p, ["id"], settle_every=3, store=store)
+    assert rounds == [0, 1, 2, 3, 4, 5, 6, None, 6, 7]  # went on after the sixth round
+    assert [h["round"] for h in again.history] == list(range(1, 9))
+    for one, two in zip(whole.history, again.history):
+        assert one["validation_rmse"] == pytest.approx(two["validation_rmse"], rel=1e-9)
+    assert [[n[:4] for n in t] for t in again.trees] == [[n[:4] for n in t] for t in whole.trees]
+    for one, two in zip(whole.leaf_weights, again.leaf_weights):
+        assert one == pytest.approx(two, rel=1e-9, abs=1e-12)
+    assert again.best_round == whole.best_round
+    with pytest.raises(ValueError, match="other parameters"):
+        boosting.fit_boosted(rows, FEATURES, params(config, n_estimators=9), ["id"], store=store)
+
+
+def test_a_finished_fit_is_read_back(rows, tmp_path, monkeypatch):
+    p = params(SQUARED_CONFIG, n_estimators=4)
+    store = str(tmp_path / "fit")
+    one = boosting.fit_boosted(rows, FEATURES, p, ["id"], settle_every=2, store=store)
+    monkeypatch.setattr(boosting, "_fit_tree", None)
+    two = boosting.fit_boosted(rows, FEATURES, p, ["id"], settle_every=2, store=store)
+    assert one == two
+
+
+def test_the_ensemble_is_a_table_of_nodes(spark, rows, tmp_path):
+    model = boosting.fit_boosted(rows, FEATURES, params(TWEEDIE_CONFIG), ["id"])
+    model.save(spark, str(tmp_path / "model"))
+    table = spark.read.parquet(str(tmp_path / "model/ensemble"))
+    assert table.columns == ["tree", "node", "feature", "cut", "left", "right", "weight"]
+    nodes = {(r.tree, r.node): r for r in table.collect()}
+    data = rows.toPandas()
+
+    def walk(row):
+        total = model.base_score
+        for tree in range(model.rounds_used):
+            node = nodes[tree, 0]
+            while node.feature >= 0:
+                node = nodes[tree, node.left if row[FEATURES[node.feature]] <= node.cut else node.right]
+            total += node.weight
+        return math.exp(total)
+
+    got = model.score(rows).toPandas().set_index("id").predicted
+    for _, row in data.head(200).iterrows():
+        assert got[row["id"]] == pytest.approx(walk(row), rel=1e-12)
+
+
+def test_a_model_without_a_round_scores_its_base(rows):
+    model = boosting.BoostedModel(FEATURES, params(SQUARED_CONFIG), 1.25, [])
+    assert {r.predicted for r in model.score(rows.limit(3)).collect()} == {1.25}
+
+
+def test_only_the_public_interface_of_spark_is_used():
+    import depthgrid
+
+    root = os.path.dirname(depthgrid.__file__)
+    for folder, _, names in os.walk(root):
+        for name in names:
+            if name.endswith(".py"):
+                with open(os.path.join(folder, name), encoding="utf-8") as handle:
+                    text = handle.read()
+                assert not any(word in text for word in ("._gateway", "._jvm", "._java_obj", "._jdf")), name
+
+
+def test_a_stopped_search_goes_on_to_the_same_log(spark, tmp_path):
+    bounds = {"max_depth": (3, 10), "learning_rate": (0.01, 0.3)}
+    calls = []
+
+    def bowl(candidates):
+        calls.append(len(candidates))
+        return [(c["max_depth"] - 7) ** 2 + (c["learning_rate"] - 0.2) ** 2 for c in candidates]
+
+    def stopping(candidates):
+        if len(calls) == 3:
+            raise Interrupted
+        return bowl(candidates)
+
+    want = search.swarm_minimum(bowl, bounds, swarm=4, iterations=5, seed=3)
+    calls.clear()
+    store = lambda: search.SwarmStore(spark, str(tmp_path / "search"), {"bounds": bounds})
+    with pytest.raises(Interrupted):
+        search.swarm_minimum(stopping, bounds, swarm=4, iterations=5, seed=3, store=store())
+    got = search.swarm_minimum(bowl, bounds, swarm=4, iterations=5, seed=3, store=store())
+    assert got == want and len(calls) == 6
+    assert search.swarm_minimum(None, bounds, swarm=4, iterations=5, seed=3, store=store()) == want
+    with pytest.raises(ValueError, match="other settings"):
+        search.swarm_minimum(bowl, bounds, store=search.SwarmStore(spark, str(tmp_path / "search"), {"bounds": {}}))
+
+
+def test_a_killed_search_over_fits_gives_the_same_log(rows, tmp_path, monkeypatch):
+    bounds = {"max_depth": (1, 3), "n_estimators": (2, 4), "learning_rate": (0.1, 0.5)}
+    options = {"swarm": 2, "iterations": 2, "parallelism": 2}
+    best, log = search.hyper_search(rows, FEATURES, SQUARED_CONFIG, ["id"], bounds, **options)
+    fit, fits = search.fit_boosted, []
+
+    def stopping(*args, **named):
+        fits.append(1)
+        if len(fits) == 4:
+            raise Interrupted
+        return fit(*args, **named)
+
+    store = str(tmp_path / "search")
+    monkeypatch.setattr(search, "fit_boosted", stopping)
+    with pytest.raises(Interrupted):
+        search.hyper_search(rows, FEATURES, SQUARED_CONFIG, ["id"], bounds, store=store, **options)
+    monkeypatch.setattr(search, "fit_boosted", fit)
+    again, second = search.hyper_search(rows, FEATURES, SQUARED_CONFIG, ["id"], bounds, store=store, **options)
+    assert again == best
+    one, two = log.toPandas(), second.toPandas()
+    assert len(one) == 6 and one.drop(columns="mse").equals(two.drop(columns="mse"))
+    assert one.mse.to_numpy() == pytest.approx(two.mse.to_numpy(), rel=1e-9)

@@ -10,7 +10,9 @@ from oracle_check import compare, duck
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 # One pixel id occurs twice at sf0.001. Cell tables need one cell per pixel and layer, so
 # queries that align cells run on the next size, where ids are unique.
-ONE_CELL_PER_PIXEL = {"load_layers", "pixel_align", "pixel_table", "prepare_tables"}
+ONE_CELL_PER_PIXEL = {
+    "load_layers", "pixel_align", "pixel_table", "pixel_table_bucketed", "prepare_folder", "prepare_tables",
+}
 LARGER = "/root/testdata/sf0.01"
 
 
