@@ -6,11 +6,15 @@ into 2**20 buckets and count once per text. The score is a sigmoid of a bias, on
 bucket and the inner products of all pairs of present buckets' factors, so a pair of terms can
 count where neither does alone.
 
-Fitting reads labelled rows outside the held-out fold, at most SAMPLE_ROWS of them (those of the
-smallest md5 of the id, each distinct text once; a documented bound), keeps at most FEATURES
-buckets, those of largest chi-square among them, and runs AdaGrad on the bounded table of their
-presence. Labels, language, source and
-id are no inputs of a score. Scoring is one pass over every whole text without a shuffle.
+Fitting reads labelled rows outside the held-out fold, at most SAMPLE_ROWS of them (ids of the
+smallest md5 first, then sets of terms of the smallest digest, each distinct set once; a documented
+bound), keeps at most FEATURES buckets and runs AdaGrad on their presence. A first share of the
+places goes to the buckets that tell most on their own (by chi-square); after them come the most
+frequent ones of toxic texts and of all texts, whatever they tell alone, so that pairs of them can be
+learned. How many of these (FILLS) is settled by the loss on a fifth of the sampled texts, left out
+for that: terms that tell nothing even in pairs only add chance. The driver gets one list of feature
+numbers per sampled text. Labels, language,
+source and id are no inputs of a score. Scoring is one pass over every whole text without a shuffle.
 
 Defined cases: a null or empty text has no terms and its score is the sigmoid of the bias;
 without a positive and a negative labelled row every score is 0; several labels of one id count
@@ -20,6 +24,7 @@ table; other columns are carried on request under any name.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,10 +38,11 @@ from depthgrid.llm.shared import stored
 
 #: Bound of the labelled rows that are fitted, of the buckets kept and of the hash space.
 SAMPLE_ROWS, FEATURES, BUCKETS = 20_000, 4_096, 1 << 20
-#: Tasks that read the sample, whose size is bounded; more would only leave tiny files.
-SAMPLE_TASKS = 16
-#: A bucket needs this many labelled texts and this chi-square, which chance rarely gives to one.
-LEAST_TEXTS, LEAST_CHI = 8, 20.0
+#: A bucket of the first share needs this many labelled texts and this chi-square, which chance
+#: rarely gives to one; the others of the places are dealt by frequency.
+LEAST_TEXTS, LEAST_CHI, TELLING_SHARE = 8, 20.0, 0.5
+#: Numbers of frequent buckets that are tried, and the share by which the loss has to fall for more.
+FILLS, LEAST_FALL = (0, 256, FEATURES), 0.2
 FACTORS, EPOCHS, BATCH, STEP, DECAY, SEED = 8, 12, 256, 0.1, 1e-4, 7
 FOLDS = 5
 PREFIXES = (4, 5)
@@ -121,8 +127,8 @@ def fit_machine(row, feature, label, features: int, seed: int = SEED):
             slope = error[local]
             seen, back = np.unique(f, return_inverse=True)
             d_w = np.bincount(back, slope, minlength=len(seen)) + DECAY * weights[seen]
-            d_v = np.zeros((len(seen), FACTORS))
-            np.add.at(d_v, back, slope[:, None] * (sums[local] - factors[f]))
+            pull = slope[:, None] * (sums[local] - factors[f])
+            d_v = np.column_stack([np.bincount(back, pull[:, k], minlength=len(seen)) for k in range(FACTORS)])
             d_v += DECAY * factors[seen]
             g_w[seen] += d_w**2
             g_v[seen] += d_v**2
@@ -138,16 +144,22 @@ def _bucket_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for part in words.slices(batch, "__text"):
             row, bucket = _distinct(*terms(part.column("__text")), BUCKETS)
+            bucket = bucket.astype(np.int32)
             ends = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column("__label"), lists], ["__label", "__buckets"])
+            keys = [
+                hashlib.blake2b(bucket[a:b].tobytes(), digest_size=16).hexdigest() for a, b in zip(ends[:-1], ends[1:])
+            ]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), part.column("__label"), lists], ["__key", "__label", "__buckets"]
+            )
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS,
-) -> Model:
-    """Fit on at most ``sample_rows`` labelled rows outside the held-out fold."""
+def _labelled_sets(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int):
+    """At most ``most`` distinct sets of terms (__key, __label, __buckets), each with its largest label.
+
+    Copies would make their chance words look telling, so a set counts once.
+    """
     marked = (
         labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
         .filter(~held_out(F.col("__id")) & F.col("__label").isNotNull())
@@ -156,48 +168,109 @@ def fit(
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     known = marked.join(texts.select("__id").distinct(), "__id", "left_semi")
     order = F.md5(F.concat(F.lit("toxicity:"), F.col("__id").cast("string")))
-    sample = stored(known.orderBy(order, "__id").limit(sample_rows))
-    # The sample's size is bounded, so it is broadcast. Copies would make their chance words
-    # look telling, so a text counts once, with its largest label.
+    ids = stored(known.orderBy(order, "__id").limit(most), most)  # bounded, so it is broadcast
     rows = stored(
-        texts.join(F.broadcast(sample), "__id")
-        .groupBy(F.lower("__text")).agg(F.max("__label").alias("__label"), F.max("__text").alias("__text"))
-        .select("__label", "__text")
-        .coalesce(SAMPLE_TASKS)
-        .mapInArrow(_bucket_lists, "__label int, __buckets array<int>")
+        texts.join(F.broadcast(ids), "__id").select("__label", "__text")
+        .mapInArrow(_bucket_lists, "__key string, __label int, __buckets array<int>")
         .withColumn("__row", F.monotonically_increasing_id())
     )
-    n = rows.count()
-    p = rows.filter("__label = 1").count()
-    if not 0 < p < n:
-        return Model(np.zeros(0, np.int16), 0.0, np.zeros(0), np.zeros((0, FACTORS)))
+    # An id may have many texts: the bound holds for sets, too. Lists stay where they are until
+    # one row of each set is chosen.
+    chosen = stored(
+        rows.groupBy("__key").agg(F.max("__label").alias("__label"), F.min("__row").alias("__row"))
+        .orderBy("__key").limit(most),
+        most,
+    )
+    return stored(rows.select("__row", "__buckets").join(F.broadcast(chosen), "__row").drop("__row"))
+
+
+def _chosen_buckets(rows: DataFrame, n: int, p: int) -> tuple[np.ndarray, int]:
+    """At most FEATURES buckets, and how many of them, the first ones, tell on their own."""
     both, hits = F.col("both"), F.col("hits")
     gap = hits - both * F.lit(p / n)
     spread = both * (F.lit(float(n)) - both) * F.lit(p / n * (1 - p / n))
     chi = gap * gap * F.lit(float(n - 1)) / spread
-    best = (
+    counts = stored(
         rows.select("__label", F.explode("__buckets").alias("bucket"))
         .groupBy("bucket").agg(F.count(F.lit(1)).alias("both"), F.sum("__label").alias("hits"))
-        .filter((both >= LEAST_TEXTS) & (both < n) & (chi >= LEAST_CHI)).orderBy(chi.desc(), "bucket").limit(FEATURES)
-        .select("bucket").toArrow().column(0).to_numpy()
+        .filter((both < n) & (both > 1))
     )
+
+    def first(table: DataFrame, by: list, most: int) -> list[int]:
+        return table.orderBy(*by, "bucket").limit(most).select("bucket").toArrow().column(0).to_pylist()
+
+    telling = counts.filter((both >= LEAST_TEXTS) & (chi >= LEAST_CHI))
+    found = first(telling, [chi.desc()], int(FEATURES * TELLING_SHARE))
+    held = dict.fromkeys(found)
+    ranked = [first(counts, [c.desc()], FEATURES) for c in (hits, both)]
+    for pair in zip(*ranked):
+        for bucket in pair:
+            if len(held) < FEATURES:
+                held.setdefault(bucket)
+    return np.array(list(held), np.int64), len(found)
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS,
+) -> Model:
+    """Fit on at most ``sample_rows`` labelled sets of terms outside the held-out fold."""
+    rows = _labelled_sets(docs, labels, id_col, text_col, label_col, sample_rows)
+    n = rows.count()
+    p = rows.filter("__label = 1").count()
+    if not 0 < p < n:
+        return Model(np.zeros(0, np.int16), 0.0, np.zeros(0), np.zeros((0, FACTORS)))
+    best, telling = _chosen_buckets(rows, n, p)
     place = np.full(BUCKETS, -1, np.int16)
-    place[np.sort(best)] = np.arange(len(best))
-    chosen = rows.sparkSession.createDataFrame([(int(b),) for b in np.sort(best)], "bucket int")
-    cells = (
-        rows.select("__row", F.explode("__buckets").alias("bucket"))
-        .join(F.broadcast(chosen), "bucket").toArrow()
+    place[best] = np.arange(len(best))
+    shared = rows.sparkSession.sparkContext.broadcast(place)  # 2 MB, fixed by BUCKETS
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("__buckets")
+            found = shared.value[lists.flatten().to_numpy()]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[found >= 0], minlength=batch.num_rows))])
+            kept = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found[found >= 0]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("__key"), batch.column("__label"), kept], ["__key", "__label", "__features"]
+            )
+
+    sample = (
+        rows.mapInArrow(features, "__key string, __label int, __features array<smallint>").toArrow()
+        .sort_by("__key").combine_chunks()
     )
-    truth = rows.select("__row", "__label").orderBy("__row").toArrow()
-    ids = truth.column("__row").to_numpy()
-    row = np.searchsorted(ids, cells.column("__row").to_numpy())
-    feature = place[cells.column("bucket").to_numpy()].astype(np.int64)
-    sort = np.lexsort((feature, row))
-    label = truth.column("__label").to_numpy().astype(float)
-    bias, weights, factors = fit_machine(row[sort], feature[sort], label, len(best))
+    lists = sample.column("__features").combine_chunks()
+    row = np.repeat(np.arange(len(lists), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    label = sample.column("__label").to_numpy().astype(float)
+    cells = (row, lists.flatten().to_numpy())
+    most = _features_wanted(*cells, label, telling, len(best))
+    place[best[most:]] = -1
+    used = cells[1] < most
+    bias, weights, factors = fit_machine(cells[0][used], cells[1][used], label, most)
     return Model(place, bias, weights, factors)
 
 
+def _features_wanted(row: np.ndarray, feature: np.ndarray, label: np.ndarray, telling: int, most: int) -> int:
+    """The number of features, the first ones, whose machine does best on every fifth text."""
+    apart = np.arange(len(label)) % 5 == 4
+    if len({*label[~apart]}) < 2 or not apart.any():
+        return telling or most
+    place = np.cumsum(~apart) - 1
+    best = None
+    for limit in sorted({min(telling + fill, most) for fill in FILLS} - {0}):
+        known = feature < limit
+        learned = known & ~apart[row]
+        model = fit_machine(place[row[learned]], feature[learned], label[~apart], limit)
+        margin, _ = _margins(row[known], feature[known], len(label), *model)
+        chance = np.clip(_sigmoid(margin[apart]), 1e-6, 1 - 1e-6)
+        truth = label[apart]
+        loss = -float(np.mean(truth * np.log(chance) + (1 - truth) * np.log(1 - chance)))
+        if best is None or loss < best[0] * (1 - LEAST_FALL):
+            best = (loss, limit)
+    return best[1] if best else most
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with the column ``__score``; one pass, every row and whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB, fixed by FEATURES, BUCKETS

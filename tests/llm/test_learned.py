@@ -77,6 +77,49 @@ def test_pairs_are_learned():
     assert ((margins > 0) == label).mean() > 0.95
 
 
+def test_a_pure_pair_is_learned_from_texts(spark):
+    """The label is a pair of words that say nothing alone, among words that say nothing at all."""
+    draw = random.Random(5)
+    filler = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+    docs, labels = [], []
+    for n in range(6000):
+        a, b = draw.random() < 0.5, draw.random() < 0.5
+        text = draw.sample(filler, 12) + ["insult"] * a + ["group"] * b
+        draw.shuffle(text)
+        docs.append((n, " ".join(text)))
+        labels.append((n, int(a == b)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.score(docs, model).join(labels, "doc_id").filter(toxicity.held_out(F.col("doc_id"))).collect()
+    assert len(rows) > 1000
+    assert sum((r["__score"] >= 0.5) == (r.toxic == 1) for r in rows) / len(rows) > 0.95
+
+
+def test_margins_equal_a_loop_over_pairs():
+    draw = np.random.default_rng(9)
+    weights, factors, bias = draw.normal(size=20), draw.normal(size=(20, 3)), 0.3
+    sets = [sorted(draw.choice(20, size, replace=False).tolist()) for size in (0, 1, 2, 7, 20, 0)]
+    row = np.array([n for n, own in enumerate(sets) for _ in own])
+    feature = np.array([k for own in sets for k in own])
+    got, _ = toxicity._margins(row, feature, len(sets), bias, weights, factors)
+    for margin, own in zip(got, sets):
+        want = bias + sum(weights[k] for k in own)
+        want += sum(factors[j] @ factors[k] for i, j in enumerate(own) for k in own[i + 1 :])
+        assert margin == pytest.approx(want)
+
+
+def test_many_texts_of_one_id_stay_within_the_bound(spark):
+    docs = spark.createDataFrame(
+        [(1, f"word{n} insult") for n in range(500)] + [(n, f"fine{n} text") for n in range(2, 60)], "doc_id long, text string"
+    )
+    labels = spark.createDataFrame([(n, int(n == 1)) for n in range(60)], "doc_id long, toxic int")
+    sets = toxicity._labelled_sets(docs, labels, "doc_id", "text", "toxic", 40)
+    assert sets.count() == 40
+    twice = toxicity._labelled_sets(docs.union(docs), labels, "doc_id", "text", "toxic", 10_000)
+    assert twice.count() == toxicity._labelled_sets(docs, labels, "doc_id", "text", "toxic", 10_000).count()
+
+
 def test_scores_of_odd_texts(spark, model):
     rows = [(1, None), (2, ""), (3, "!!"), (4, "idiot " * 200_000), (None, "you idiot"), (4, "tie"), (4, "tie")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("mine"))
