@@ -4,9 +4,11 @@ Items are partitioned by the size q of their shingle set, 2**c <= q < 2**(c+1).
 partition a document is read in blocks of 2**(c+1) shingles, so a block is never much larger than
 the item and the Jaccard value that containment 0.75 implies stays high (0.25 or more over the
 blocks that hold the passage) however long the document is. Item and block are compared by one
-minimum in each of 128 bins of a one-permutation MinHash; any equal minimum makes a candidate. An
-item is overlooked with probability below (1 - 0.25)**128, about 1e-16. Candidates are confirmed by counting the
-item's shingles in the whole document.
+minimum in each of 128 bins of a one-permutation MinHash; any equal minimum makes a candidate. Items
+of fewer than SMALL shingles fill too few bins for that: every shingle of theirs is a key, and any
+shared one makes a candidate, so none of them is overlooked. A larger one is with probability below
+(1 - 0.25)**m for the m bins it fills, about 50 for 64 shingles (1e-6) and all 128 for many (1e-16).
+Candidates are confirmed by counting the item's shingles in the whole document.
 
 One pass reads the texts. It carries on only what can matter: shingles whose bit is set in a
 bitmap of the items' shingles (2 MB whatever the input), which hold every shared one.
@@ -31,6 +33,8 @@ from depthgrid.llm.shared import BITMAP_BITS, anti_by_id, join_small, stored
 
 BINS = 128
 PERCENT = 75
+#: Items of fewer shingles (a power of 2) are found by any shared shingle.
+SMALL = 64
 
 _U64 = np.uint64
 _SHIFT = _U64(64 - BINS.bit_length() + 1)
@@ -42,7 +46,7 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in words.slices(batch, "__text"):
             sets = words.shingle_sets(part.column("__text"))
             # a set is sorted and a bin is its top bits, so a bin's first value is its smallest
-            mins = [s[np.unique(s >> _SHIFT, return_index=True)[1]] for s in sets]
+            mins = [s if len(s) < SMALL else s[np.unique(s >> _SHIFT, return_index=True)[1]] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("__item"),
@@ -84,7 +88,10 @@ def _document_rows(bits, classes):
                 if not len(hits):
                     continue
                 rows = np.searchsorted(bounds, hits, side="right") - 1
-                passed = [hits[_block_minima(values, bounds, hits, rows, 2 << c)] for c in classes]
+                passed = [
+                    hits if 1 << c < SMALL else hits[_block_minima(values, bounds, hits, rows, 2 << c)]
+                    for c in classes
+                ]
                 kinds = np.repeat(np.array(classes, np.int32), [len(p) for p in passed])
                 passed = np.concatenate(passed)
                 keep = np.unique(rows)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 # Element classes of the HTML standard.
@@ -59,6 +60,7 @@ def read(source: str) -> Page:
     page.parents.append(-1)
     page.names.append(())
     page.controls.append(0)
+    held: Counter[str] = Counter()  # open tags by name
     run: list[str] = []
     links, in_link = 0, 0
 
@@ -77,11 +79,14 @@ def read(source: str) -> Page:
         nonlocal in_link
         for tag, _ in open_tags[depth:]:
             in_link -= tag == "a"
+            held[tag] -= 1
         if any(tag not in INLINE for tag, _ in open_tags[depth:]):
             flush()
         del open_tags[depth:]
 
     def close_open(which: frozenset, scope: frozenset):
+        if not any(held[tag] for tag in which):
+            return
         for depth in range(len(open_tags) - 1, 0, -1):
             tag = open_tags[depth][0]
             if tag in which:
@@ -114,8 +119,9 @@ def read(source: str) -> Page:
         at = found.end()
         if closing:
             name = closing.lower()
-            if name == "p" and all(t != "p" for t, _ in open_tags):
-                flush()
+            if not held[name]:  # a look at all open tags for each such end would be quadratic
+                if name == "p":
+                    flush()
                 continue
             for depth in range(len(open_tags) - 1, 0, -1):
                 if open_tags[depth][0] == name:
@@ -150,6 +156,7 @@ def read(source: str) -> Page:
         if name in INLINE:
             if not attributes.rstrip().endswith("/"):
                 open_tags.append((name, open_tags[-1][1]))
+                held[name] += 1
                 in_link += name == "a"
             continue
         if name in CLOSED_BY:
@@ -161,5 +168,6 @@ def read(source: str) -> Page:
         page.names.append(_tokens_of(attributes))
         page.controls.append(0)
         open_tags.append((name, len(page.tags) - 1))
+        held[name] += 1
     flush()
     return page

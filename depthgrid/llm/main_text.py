@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import html
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,10 +101,11 @@ def features(page: Page) -> np.ndarray:
             passed[k, _slot(token)] = 1
     for up, family in families.items():
         kinds = [page.tags[k] for k in family]
+        often = Counter(kinds)
         whole = sum(text[k] for k in family)
         for i, k in enumerate(family):
             place[k], count[k] = i / len(family), len(family)
-            same[k] = kinds.count(kinds[i]) / len(family) if len(family) < 200 else 1
+            same[k] = often[kinds[i]] / len(family)
             before[k] = text[family[i - 1]] if i else 0
             after[k] = text[family[i + 1]] if i + 1 < len(family) else 0
             around[k] = text[k] / (whole + 1)

@@ -129,7 +129,7 @@ def fit_machine(row, feature, label, features: int, seed: int = SEED):
             d_w = np.bincount(back, slope, minlength=len(seen)) + DECAY * weights[seen]
             pull = slope[:, None] * (sums[local] - factors[f])
             d_v = np.column_stack([np.bincount(back, pull[:, k], minlength=len(seen)) for k in range(FACTORS)])
-            d_v += DECAY * factors[seen]
+            d_v = d_v + DECAY * factors[seen]
             g_w[seen] += d_w**2
             g_v[seen] += d_v**2
             weights[seen] -= STEP * d_w / np.sqrt(g_w[seen])

@@ -214,3 +214,20 @@ def test_stages_take_nulls_clashing_columns_and_empty_tables(spark):
             docs = corpus_pipeline.stored(out)
             if name != "mix_sources":
                 assert out.columns == odd.columns
+
+
+def test_no_small_item_is_overlooked(spark):
+    """30,000 items of 1 to 8 shingles, each inside one document of its own words."""
+    draw = random.Random(12)
+    items, docs = [], []
+    for n in range(30_000):
+        ws = [f"i{draw.randrange(10**9)}" for _ in range(5 + n % 8)]
+        own = [f"d{draw.randrange(10**9)}" for _ in range(12)]
+        at = draw.randrange(13)
+        items.append((n, " ".join(ws)))
+        docs.append((n, " ".join(own[:at] + ws + own[at:])))
+    got = decontaminate.contained_items(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(n, n) for n in range(30_000)}
+    assert all(r.n_item == 1 + r.item_id % 8 == r.n_shared for r in got)

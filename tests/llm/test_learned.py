@@ -96,6 +96,13 @@ def test_a_pure_pair_is_learned_from_texts(spark):
     assert sum((r["__score"] >= 0.5) == (r.toxic == 1) for r in rows) / len(rows) > 0.95
 
 
+def test_texts_without_any_feature_take_part_in_the_fit():
+    row, feature = np.array([0, 0, 3], np.int32), np.array([0, 1, 1], np.int16)
+    label = np.array([1.0, 0.0, 0.0, 1.0] + [0.0] * 600)  # whole batches have no feature
+    bias, weights, factors = toxicity.fit_machine(row, feature, label, 2)
+    assert bias < 0 and np.isfinite(weights).all() and np.isfinite(factors).all()
+
+
 def test_margins_equal_a_loop_over_pairs():
     draw = np.random.default_rng(9)
     weights, factors, bias = draw.normal(size=20), draw.normal(size=(20, 3)), 0.3

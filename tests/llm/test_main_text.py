@@ -110,3 +110,28 @@ def test_long_page(forest):
     block = "<p>" + "Long words of the story, told at length. " * 20 + "</p>"
     text = main_text.extract(f"<nav><a href=x>menu</a></nav><article>{block * 3000}</article>", forest)
     assert text.count("\n\n") == 2999
+
+
+def test_open_tags_without_end_take_linear_time():
+    import time
+
+    from depthgrid.llm import dom
+
+    def seconds(n):
+        begin = time.perf_counter()
+        dom.read("<b>" * n + "</p>" * n + "</i>" * n + "<div>" * n)
+        return time.perf_counter() - begin
+
+    seconds(100)
+    assert seconds(20_000) < 3
+
+
+def test_a_family_is_counted_alike_below_and_above_200():
+    from depthgrid.llm import dom
+
+    column = main_text.NUMBERS
+    for n in (199, 201):
+        page = dom.read("<div>" + "<p>one</p>" * (n - 1) + "<h2>two</h2></div>")
+        x = main_text.features(page)
+        shares = {round(float(v), 4) for k, tag in enumerate(page.tags) if tag == "p" for v in x[k, :column]}
+        assert round((n - 1) / n, 4) in shares
