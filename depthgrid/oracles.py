@@ -378,8 +378,8 @@ ORACLES["pixel_table_bucketed"] = ORACLES["pixel_table"]
 ORACLES["predict_in_place"] = ORACLES["boost_stump_squared"]
 ORACLES["predict_folder"] = f"""select *, null::varchar as lacking from ({ORACLES["boost_stump_squared"]})
   where huc8 <> 'HUC_A'
-  union all select distinct 'HUC_A', l_linestatus, null::double, null::bigint, null::double, null::double, 'lulc'
+  union all select distinct 'HUC_A', l_linestatus, null::double, 0::bigint, null::double, null::double, 'lulc'
   from lineitem where l_returnflag = 'A'"""
 ORACLES["prepare_folder"] = f"""select *, null::varchar as reason from ({ORACLES["prepare_tables"]})
-  union all select distinct concat('HUC_', l_returnflag), '5yr', null::bigint, null::bigint, null::double,
+  union all select distinct concat('HUC_', l_returnflag), '5yr', 0::bigint, 0::bigint, null::double,
     null::double, 'no depth raster' from lineitem"""

@@ -422,7 +422,7 @@ def predict_folder(spark, sf):
     skipped = evaluate.predict_folder(spark, model, f"{folder}/sets", f"{folder}/scored")
     scored = _score_groups(tables.load_pixels(spark, f"{folder}/scored"))
     lacking = skipped.select(*PAIR, F.array_join("lacking", ",").alias("lacking"))
-    return scored.unionByName(lacking, allowMissingColumns=True)
+    return scored.unionByName(lacking.withColumn("n", F.lit(0).cast("long")), allowMissingColumns=True)
 
 
 def predict_in_place(spark, sf):
@@ -463,7 +463,9 @@ def prepare_folder(spark, sf):
     folder = fresh_path(spark)
     fx.write_rasters(spark, sf, f"{folder}/rasters")
     done = prepare.prepare_folder(spark, f"{folder}/rasters", f"{folder}/out", KEYS)
-    return _prepared_totals(spark, f"{folder}/out").unionByName(done.skipped, allowMissingColumns=True)
+    none = F.lit(0).cast("long")
+    skipped = done.skipped.withColumns({"train_rows": none, "test_rows": none})
+    return _prepared_totals(spark, f"{folder}/out").unionByName(skipped, allowMissingColumns=True)
 
 
 def _prepared_totals(spark, folder) -> DataFrame:
