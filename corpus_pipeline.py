@@ -2,8 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the one before kept, and is written
 as Parquet and read again. All but the last return the columns of ``documents``; the last adds
-``copy``, the number of the emitted copy. Rows with a null doc_id are kept by the stages that
-drop by id.
+``copy``, the number of the emitted copy.
+
+Defined cases, for every stage: whole texts are read, however long; a null text counts as empty; an
+empty table gives an empty table; the columns of the input are carried under any name. Rows with a
+null doc_id are kept by the stages that drop by id. An empty text is never toxic by its terms (its
+score is the model's bias), is an exact copy of every other empty one, links with nothing, holds no
+benchmark item, and is emitted by the rate of its source. Of equal texts the row of the largest doc_id
+stays, one of them where ids tie; of near copies the smallest; repeated rows are copies like any other.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ are reaches the scan as a bounded bitmap, whose false hits cost a hash and chang
 
 Defined cases: a null text is an empty text; texts are equal when they are identical after
 lower-casing A-Z; of equal texts the largest id stays, and of rows repeated with that same id
-one row stays; null ids sort below all others; an empty table gives an empty table; further
+one row stays; null ids sort below all others; very long texts are compared by their whole digest;
+an empty table gives an empty table; further
 columns are carried or ignored and may have any name without a leading "__".
 """
 

@@ -15,7 +15,8 @@ page without a shuffle.
 Defined cases: a null or empty page has an empty text; broken or cut-off markup is read as far as
 it goes; without a training page nothing is known to be clutter and all text is kept; white space
 (Unicode's included) becomes one space; rows are read each on their own, so ties and repeats need
-no rule; an empty table gives an empty table; other columns are carried on request.
+no rule; a very long page is read whole, in time and memory linear in its elements; an empty table
+gives an empty table; other columns are carried on request.
 """
 
 from __future__ import annotations

@@ -6,8 +6,8 @@ goes to the others by weight until none is above. Each document is then emitted
 times, plus once more with probability equal to the fraction, drawn from a hash of seed and id.
 
 Defined cases: a null text has size 0; a null source is a source of its own; a source of size 0
-has target 0; rows repeated with one id draw alike; a null id draws as the empty string; an
-empty table gives an empty table.
+has target 0; rows repeated with one id draw alike; a null id draws as the empty string; a very long
+text counts with all its words; an empty table gives an empty table.
 """
 
 from __future__ import annotations

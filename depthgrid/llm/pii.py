@@ -13,7 +13,8 @@ numbers with a space between them, which no pattern separates, are found this wa
 
 Defined cases: a null or empty text has no spans; offsets are code points with an exclusive end;
 without a labelled span in the sample nothing is added; rows are read each on their own, so ties
-and repeats need no rule; an empty table gives an empty table; other columns are ignored.
+and repeats need no rule; a very long text is searched whole, its windows overlapping; an empty table
+gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -403,9 +404,21 @@ class Finder:
                 added.append((begin, kind, end))
 
 
+#: Windows that a task holds before it passes them on.
+HELD_WINDOWS = 512
+
+
 def _label_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.int64())
+    chars, tags = [], []
+
+    def held() -> pa.RecordBatch:
+        done = pa.RecordBatch.from_arrays([pa.array(chars, kind), pa.array(tags, kind)], ["__chars", "__tags"])
+        chars.clear()
+        tags.clear()
+        return done
+
     for batch in batches:
-        chars, tags = [], []
         for value in batch.column("__text"):
             text = value.as_py() or ""
             spans = training_spans(text)
@@ -414,8 +427,9 @@ def _label_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 for start in window_starts(version):
                     chars.append(encode(version, start).tolist())
                     tags.append(tag_window(own, start).tolist())
-        kind = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(chars, kind), pa.array(tags, kind)], ["__chars", "__tags"])
+                    if len(chars) == HELD_WINDOWS:
+                        yield held()
+    yield held()
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Finder:

@@ -18,8 +18,9 @@ source and id are no inputs of a score. Scoring is one pass over every whole tex
 
 Defined cases: a null or empty text has no terms and its score is the sigmoid of the bias;
 without a positive and a negative labelled row every score is 0; several labels of one id count
-as their largest, a null label as none; a null id is held out; an empty table gives an empty
-table; other columns are carried on request under any name.
+as their largest, a null label as none; a null id is held out; a very long text is read in blocks of
+words, all of it; repeated rows are scored each, and fitted once; an empty table gives an empty table;
+other columns are carried on request under any name.
 """
 
 from __future__ import annotations
