@@ -358,21 +358,24 @@ def _asked_rows(bits):
     return run
 
 
+def _maybe(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key may be among the wanted ones; surely those whose key is."""
+    bits = stored(bitmap(wanted, keys), BITMAP_BITS // 64)
+    return mark(rows, bits, keys, "__maybe").filter("__maybe").drop("__maybe")
+
+
 def _settled(suffixes: DataFrame, unsure: DataFrame, kind: str) -> DataFrame:
     """(__id, __at, __low, __high, __other) of asked stretches that another document has."""
-    own = stored(
-        suffixes.join(unsure, ["__id", "__at"])
-        .mapInArrow(_open_rows, f"__id {kind}, __at int, __offset int, __one bigint, __two int")
-    )
-    bits = _bits(own, "__one")
-    cores = stored(suffixes.join(unsure, ["__id", "__at"], "left_semi").select("__core").distinct())
+    # Bitmaps pass what may matter, so that few of the wide rows are shuffled.
+    stretch = f"__id {kind}, __at int, __offset int, __one bigint, __two int"
+    open_ones = stored(_maybe(suffixes, unsure, ["__id", "__at"]).join(unsure, ["__id", "__at"]))
+    own = stored(open_ones.mapInArrow(_open_rows, stretch))
+    asked = _maybe(suffixes, open_ones, ["__core"]).mapInArrow(_asked_rows(_bits(own, "__one")), stretch)
     key = ["__one", "__two"]
     # The two smallest ids of a stretch; the bound on ranks also holds before the shuffle.
     rank = F.dense_rank().over(Window.partitionBy(*key).orderBy("__id"))
     shared = stored(
-        suffixes.join(cores, "__core", "left_semi")
-        .mapInArrow(_asked_rows(bits), f"__id {kind}, __at int, __offset int, __one bigint, __two int")
-        .select(*key, "__id").withColumn("__rank", rank).filter("__rank <= 2")
+        asked.select(*key, "__id").withColumn("__rank", rank).filter("__rank <= 2")
         .groupBy(*key).agg(F.min("__id").alias("__least"), F.max("__id").alias("__second"))
         .filter("__least <> __second")
     )
