@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("train", "train-search"):
         fit = step(name, "input", "output", "config")
         fit.add_argument("--target", default=TARGET)
+        fit.add_argument("--store", help="folder from which an interrupted run goes on")
         if name == "train-search":
             fit.add_argument("--sample_frac", type=float, default=0.1)
     score = step("predict", "model")
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
         _store(describe_numeric(rows, args.target), f"{args.output}/columns")
     elif args.step in ("train", "train-search"):
         rows, config = spark.read.parquet(args.input), load_config(args.config)
-        options = {"keys": (*PAIR, *PIXEL), "target": args.target, "log_target": args.log_target}
+        options = {"keys": (*PAIR, *PIXEL), "target": args.target, "log_target": args.log_target, "store": args.store}
         if args.step == "train":
             trained = train.train(rows, config, **options)
         else:
