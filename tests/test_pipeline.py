@@ -238,6 +238,15 @@ def test_sink_files_follow_the_rows_of_a_pair(spark, tmp_path):
     assert tables.load_pixels(spark, str(tmp_path / "sets")).count() == 40_000
 
 
+def test_buckets_follow_the_cells(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_CELLS", 500)
+    cells = spark.range(10_000).selectExpr("'h' as huc8", "cast(id % 1000 as string) as pixel_id", "id as value")
+    stored = tables.store_bucketed(cells, "cells_that_grow", str(tmp_path / "cells"), pixel=["pixel_id"])
+    sizes = [r["count"] for r in stored.groupBy(F.spark_partition_id()).count().collect()]
+    spark.sql("drop table cells_that_grow")
+    assert sum(sizes) == 10_000 and len(os.listdir(tmp_path / "cells")) >= 20
+
+
 def test_two_cells_of_one_pixel_are_refused(spark):
     cells, layers = as_tables(spark, make_world(nan_sentinel_pair=False))
     twice = cells.unionByName(cells.filter("layer = 'dem'").limit(1))
