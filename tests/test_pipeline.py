@@ -238,6 +238,22 @@ def test_sink_files_follow_the_rows_of_a_pair(spark, tmp_path):
     assert tables.load_pixels(spark, str(tmp_path / "sets")).count() == 40_000
 
 
+def test_a_task_of_a_sink_has_few_rows(spark, tmp_path):
+    """Keys of any size, a NULL one too: no task gets two files' rows, each row is written once."""
+    rows = spark.range(40_000).selectExpr(
+        "case id % 7 when 0 then null when 1 then 'b' else 'a' end as huc8", "'p' as return_period", "id"
+    )
+    tables.write_test_sets(rows, str(tmp_path / "sets"), file_rows=1_000)
+    tasks = {}
+    for folder, _, names in os.walk(tmp_path / "sets"):
+        for name in (n for n in names if n.endswith(".parquet")):
+            task = name.split("-")[1]
+            tasks[task] = tasks.get(task, 0) + spark.read.parquet(os.path.join(folder, name)).count()
+    assert sum(tasks.values()) == 40_000 and max(tasks.values()) < 2_400 and len(tasks) > 20
+    back = tables.load_pixels(spark, str(tmp_path / "sets"))
+    assert back.select(*rows.columns).exceptAll(rows).count() == 0
+
+
 def test_buckets_follow_the_cells(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tables, "BUCKET_CELLS", 500)
     cells = spark.range(10_000).selectExpr("'h' as huc8", "cast(id % 1000 as string) as pixel_id", "id as value")
