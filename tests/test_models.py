@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from depthgrid.models import boosting, codes, search
+from depthgrid.models import boosting, codes, search, trees
 from depthgrid.models.params import SQUARED_CONFIG, TWEEDIE_CONFIG, BoostParams
 from depthgrid.operators.regression import regression_report
 
@@ -360,3 +360,77 @@ def test_a_killed_search_over_fits_gives_the_same_log(rows, tmp_path, monkeypatc
     one, two = log.toPandas(), second.toPandas()
     assert len(one) == 6 and one.drop(columns="mse").equals(two.drop(columns="mse"))
     assert one.mse.to_numpy() == pytest.approx(two.mse.to_numpy(), rel=1e-9)
+
+
+# ------------------------------------------------------------------ trees over blocks
+
+
+def test_a_round_of_few_rows_is_one_job(spark, rows):
+    """Before, each round had a job for every level and several for the tree's input."""
+    state = boosting.training_state(rows, FEATURES, ["id"])
+
+    def jobs(rounds):
+        group = f"rounds-{rounds}"
+        spark.sparkContext.setJobGroup(group, group)
+        p = params(SQUARED_CONFIG, n_estimators=rounds, max_depth=6)
+        boosting.fit_boosted(rows, FEATURES, p, ["id"], settle_every=100, state=state)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    try:
+        assert jobs(7) - jobs(2) == 5
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("config", [TWEEDIE_CONFIG, SQUARED_CONFIG])
+def test_trees_are_the_same_however_rows_are_dealt(rows, monkeypatch, config):
+    p = params(config, n_estimators=3, max_depth=5, subsample=0.7, colsample_bytree=0.7, min_child_weight=20)
+    one = boosting.fit_boosted(rows, FEATURES, p, ["id"])
+    monkeypatch.setattr(boosting, "_TASKS_PER_CORE", 1)  # fewer than the partitions of the first rounds
+    dealt = rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism + 1)
+    spread = boosting.training_state(dealt, FEATURES, ["id"], task_rows=100)
+    assert spread.table.count() > 2 and spread.n_train == 2400
+    many = boosting.fit_boosted(rows, FEATURES, p, ["id"], state=spread, settle_every=2)
+    assert [[n[:4] for n in t] for t in many.trees] == [[n[:4] for n in t] for t in one.trees]
+    for a, b in zip(one.history, many.history):
+        assert a["train_rmse"] == pytest.approx(b["train_rmse"], rel=1e-9)
+        assert a["validation_rmse"] == pytest.approx(b["validation_rmse"], rel=1e-9)
+
+
+def test_splits_are_those_of_the_public_tree(spark, rows):
+    """The first tree of a squared loss is Spark ML's own regression tree on the same codes."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    p = params(SQUARED_CONFIG, n_estimators=1, max_depth=6, min_child_weight=15, reg_lambda=0.0)
+    model = boosting.fit_boosted(rows, FEATURES, p, ["id"])
+    training = rows.filter("split = 'train'")
+    found = codes.cut_points(training, FEATURES, 256)
+    coded = VectorAssembler(inputCols=found.columns, outputCol="features").transform(codes.coded(training, found))
+    public = DecisionTreeRegressor(
+        labelCol="label", maxDepth=6, maxBins=found.bins, minWeightFractionPerNode=15 / 2400, minInfoGain=0.0
+    ).fit(coded)
+    assert sum(n.feature < 0 for n in model.trees[0]) == (public.numNodes + 1) // 2
+    base = training.agg(F.avg("label")).first()[0]
+    steps = sorted((r[0] - base) * 0.1 for r in public.transform(coded).select("prediction").distinct().collect())
+    assert sorted(set(model.leaf_weights[0])) == pytest.approx(steps, rel=1e-9, abs=1e-12)
+
+
+def test_the_draw_is_that_of_spark(spark):
+    keys = [0, 1, -1, 2**63 - 1, -(2**63), 123456789012345]
+    frame = spark.createDataFrame([(k,) for k in keys], "k long")
+    for rest in ((42, 1), (-7, 2**31 - 1), (2**40, 3), (-(2**31) - 1, 0)):
+        want = [r[0] for r in frame.select(F.xxhash64("k", *map(F.lit, rest))).collect()]
+        assert trees.xxhash64(np.array(keys), *rest).tolist() == want
+
+
+def test_labels_that_are_no_numbers(rows):
+    for bad in (None, float("nan"), float("inf")):
+        odd = rows.withColumn("label", F.when(F.col("id") == 1, F.lit(bad).cast("double")).otherwise(F.col("label")))
+        with pytest.raises(ValueError, match="no finite label"):
+            boosting.fit_boosted(odd, FEATURES, params(SQUARED_CONFIG), ["id"])
+    # Row 0 is watched: without a label it adds no residual.
+    odd = rows.withColumn("label", F.when(F.col("id") != 0, F.col("label")))
+    model = boosting.fit_boosted(odd, FEATURES, params(SQUARED_CONFIG, n_estimators=1, early_stopping_rounds=None), ["id"])
+    squares = model.score(odd).filter("split = 'validation'").agg(F.sum((F.col("label") - F.col("predicted")) ** 2)).first()[0]
+    assert model.history[0]["validation_rmse"] == pytest.approx(math.sqrt(squares / 600), rel=1e-5)
