@@ -382,6 +382,17 @@ def test_a_round_of_few_rows_is_one_job(spark, rows):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_a_candidate_of_a_search_is_one_task_a_round(spark, monkeypatch):
+    """Rows of several blocks of a single fit are left together where fits run side by side."""
+    large = spark.range(2 * boosting.TASK_ROWS).selectExpr(
+        "id", "cast(id % 97 as double) as a", "cast(id % 7 as double) as label", "if(id % 5 = 0, 'validation', 'train') as split"
+    )
+    monkeypatch.setattr(boosting, "grow_over", None)
+    _, log = search.hyper_search(large, ["a"], SQUARED_CONFIG, ["id"], {"max_depth": (1, 2), "n_estimators": (2, 2)}, swarm=2, iterations=0)
+    assert log.count() == 2
+    assert boosting.training_state(large, ["a"], ["id"]).parts == 2
+
+
 @pytest.mark.parametrize("config", [TWEEDIE_CONFIG, SQUARED_CONFIG])
 def test_trees_are_the_same_however_rows_are_dealt(rows, monkeypatch, config):
     p = params(config, n_estimators=3, max_depth=5, subsample=0.7, colsample_bytree=0.7, min_child_weight=20)
