@@ -80,14 +80,19 @@ def impute_mean(
     )
 
 
+def _place_of(layers: Sequence[str]) -> Column:
+    """A layer's place in a fixed list as one byte, which is shuffled instead of its name."""
+    return F.coalesce(*[F.when(F.col("layer") == name, F.lit(n)) for n, name in enumerate(layers)]).cast("byte")
+
+
 def _wide(cells: DataFrame, keys: Sequence[str], layers: Sequence[str]) -> DataFrame:
-    """One row per key and one column per layer, from a fixed layer list.
+    """One row per key and one column per layer, from a fixed layer list; ``layer`` is a place in it.
 
     Two cells of one pixel and layer cannot both be right, so the job fails on them.
     """
     wide = cells.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("layer") == name, F.col("value"))).alias(name) for name in layers],
-        F.greatest(*[F.count_if(F.col("layer") == name) for name in layers]).alias("_most"),
+        *[F.max(F.when(F.col("layer") == n, F.col("value"))).alias(name) for n, name in enumerate(layers)],
+        F.greatest(*[F.count_if(F.col("layer") == n) for n in range(len(layers))]).alias("_most"),
     )
     repeated = F.raise_error(F.lit("a pixel has two cells in one layer")).cast("boolean")
     return wide.filter(F.when(F.col("_most") > 1, repeated).otherwise(F.lit(True))).drop("_most")
@@ -107,8 +112,8 @@ def align_pixels(
     ``bucketed`` table are partitioned that way where they lie and are not moved at all.
     """
     place = ["huc8", *pixel]
-    own_cells = own.select(*place, "return_period", "layer", "value")
-    shared_cells = shared.select(*place, "layer", "value")
+    own_cells = own.select(*place, "return_period", _place_of(PERIOD_LAYERS).alias("layer"), "value")
+    shared_cells = shared.select(*place, _place_of(SHARED_LAYERS).alias("layer"), "value")
     if not bucketed:
         own_cells, shared_cells = own_cells.repartition(*place), shared_cells.repartition(*place)
     return _wide(own_cells, [*place, "return_period"], PERIOD_LAYERS).join(

@@ -244,8 +244,10 @@ def fraction_sample(
 def shuffle_rows(
     rows: DataFrame, keys: Sequence[str], partitions: int | None = None, seed: int = SEED
 ) -> DataFrame:
-    """Rows in digest order inside partitions filled by digest: a shuffle without a global sort."""
-    mixed = rows.withColumn("_digest", digest(keys, "shuffle", seed))
-    by = [F.col("_digest")]
-    mixed = mixed.repartition(partitions, *by) if partitions else mixed.repartition(*by)
-    return mixed.sortWithinPartitions("_digest").drop("_digest")
+    """Rows in digest order inside partitions filled by digest: a shuffle without a global sort.
+
+    The digest itself, longer than most rows' values, is made on both sides and not shuffled.
+    """
+    place = digest(keys, "shuffle", seed)
+    mixed = rows.repartition(partitions, place) if partitions else rows.repartition(place)
+    return mixed.sortWithinPartitions(place)

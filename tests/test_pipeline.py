@@ -113,6 +113,23 @@ def test_cells_cross_the_network_once(spark):
     assert plan.count("Exchange hashpartitioning(huc8") == 2
 
 
+def test_cells_carry_a_byte_for_their_layer(spark):
+    """Before, the names of the layers were shuffled; names outside the lists still give a row of nulls."""
+    own = spark.createDataFrame(
+        [("H", 1, 2, "5yr", "flood_depth", 3.5), ("H", 1, 2, "9yr", "odd", 1.0), ("H", 7, 7, "5yr", "flood_depth", 0.0)],
+        "huc8 string, row int, col int, return_period string, layer string, value double",
+    )
+    shared = spark.createDataFrame(
+        [("H", 1, 2, "slope", 8.0), ("H", 1, 2, "aspect", 9.0), ("H", 1, 2, "odd", 4.0)],
+        "huc8 string, row int, col int, layer string, value double",
+    )
+    out = align.align_pixels(own, shared)
+    assert "as tinyint) AS layer" in out._jdf.queryExecution().executedPlan().toString()
+    found = {r["return_period"]: r for r in out.collect()}
+    assert set(found) == {"5yr", "9yr"} and found["9yr"]["flood_depth"] is None
+    assert (found["5yr"]["flood_depth"], found["5yr"]["slope"], found["5yr"]["aspect"], found["5yr"]["dem"]) == (3.5, 8.0, 9.0, None)
+
+
 def test_union_fills_absent_columns(spark):
     a = spark.createDataFrame([(1, 2.0)], "id int, predicted double")
     b = spark.createDataFrame([(2,)], "id int")

@@ -154,6 +154,15 @@ def test_attach_paths_agree(spark, pixels, monkeypatch, broadcast_bytes, how):
     assert ("top" in got) == (how != "left_semi")
 
 
+def test_shuffled_rows_do_not_carry_their_digest(spark):
+    """Before, its 32 characters went through the exchange with every row."""
+    rows = spark.range(500).withColumn("x", F.rand(1))
+    mixed = sampling.shuffle_rows(rows, ["id"], 3)
+    assert "_digest" not in mixed._jdf.queryExecution().executedPlan().toString()
+    want = rows.withColumn("d", sampling.digest(["id"], "shuffle")).repartition(3, "d").sortWithinPartitions("d")
+    assert [r["id"] for r in mixed.collect()] == [r["id"] for r in want.collect()]
+
+
 def test_no_window_without_partition_and_no_python(spark, pixels):
     frame = spark.createDataFrame(pixels)
     for rows in (sampling.balance_classes(frame, ["row", "col"]), sampling.random_split(frame, ["row", "col"])):
