@@ -445,3 +445,54 @@ def test_labels_that_are_no_numbers(rows):
     model = boosting.fit_boosted(odd, FEATURES, params(SQUARED_CONFIG, n_estimators=1, early_stopping_rounds=None), ["id"])
     squares = model.score(odd).filter("split = 'validation'").agg(F.sum((F.col("label") - F.col("predicted")) ** 2)).first()[0]
     assert model.history[0]["validation_rmse"] == pytest.approx(math.sqrt(squares / 600), rel=1e-5)
+
+
+# ------------------------------------------------------------------ rounds of a task
+
+
+@pytest.mark.parametrize("config", [TWEEDIE_CONFIG, SQUARED_CONFIG])
+def test_rounds_that_run_together_are_those_that_run_alone(spark, rows, config):
+    """Sums of the larger child are what is left of the parent's; pruning and errors are found by array."""
+    p = params(config, n_estimators=6, max_depth=6, subsample=0.7, colsample_bytree=0.7, gamma=3.0, early_stopping_rounds=None)
+    odd = rows.withColumn("a", F.when(F.col("id") % 7 != 0, F.col("a")))
+    states = [boosting.training_state(odd, FEATURES, ["id"], rounds_together=together) for together in (False, True)]
+    assert states[0].parts == states[1].parts == 1
+    one, two = (boosting.fit_boosted(odd, FEATURES, p, ["id"], state=state) for state in states)
+    assert [[n[:4] for n in t] for t in one.trees] == [[n[:4] for n in t] for t in two.trees]
+    assert [len(set(w)) < len(w) for w in one.leaf_weights] == [True] * 6  # some splits were undone
+    for a, b in zip(one.leaf_weights, two.leaf_weights):
+        assert a == pytest.approx(b, rel=1e-9, abs=1e-12)
+    for a, b in zip(one.history, two.history):
+        assert a == pytest.approx(b, rel=1e-9)
+    assert two.score(odd).exceptAll(two.score(odd)).count() == 0
+
+
+def test_a_candidate_of_a_search_is_one_job(spark, rows, monkeypatch):
+    """Before, each of its rounds was a job, and every ten rounds were stored for nobody."""
+    jobs, fit = [], search.fit_boosted
+
+    def counted(*args, **named):
+        group = f"candidate-{len(jobs)}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = fit(*args, **named)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        return found
+
+    monkeypatch.setattr(search, "fit_boosted", counted)
+    try:
+        search.hyper_search(rows, FEATURES, SQUARED_CONFIG, ["id"], {"learning_rate": (0.1, 0.3), "n_estimators": (25, 25)}, swarm=2, iterations=0, parallelism=1)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs == [1, 1]
+
+
+def test_a_stopped_candidate_goes_on_from_its_store(rows, tmp_path):
+    state = boosting.training_state(rows, FEATURES, ["id"], rounds_together=True)
+    short, p = (params(SQUARED_CONFIG, n_estimators=n, early_stopping_rounds=None) for n in (8, 8))
+    whole = boosting.fit_boosted(rows, FEATURES, short, ["id"], state=state)
+    store = str(tmp_path / "fit")
+    kept = boosting.fit_boosted(rows, FEATURES, p, ["id"], settle_every=3, state=state, store=store)
+    again = boosting.fit_boosted(rows, FEATURES, p, ["id"], settle_every=3, state=state, store=store)
+    assert sorted(x for x in os.listdir(store) if x.startswith("course")) == ["course-00003", "course-00006"]
+    for fit in (kept, again):
+        assert [list(t) for t in fit.trees] == [list(t) for t in whole.trees] and fit.history == whole.history
