@@ -496,3 +496,58 @@ def test_a_stopped_candidate_goes_on_from_its_store(rows, tmp_path):
     assert sorted(x for x in os.listdir(store) if x.startswith("course")) == ["course-00003", "course-00006"]
     for fit in (kept, again):
         assert [list(t) for t in fit.trees] == [list(t) for t in whole.trees] and fit.history == whole.history
+
+
+# ------------------------------------------------------------------ fits of many tasks
+
+
+def test_the_larger_child_is_what_is_left_of_its_parent():
+    rng = np.random.default_rng(3)
+    found, g = rng.integers(0, 20, (2, 5000)).astype(np.uint8), rng.normal(size=5000)
+    limits = trees.Limits(4, (0, 1), (20, 20), 0.0)
+    tree = trees.grow_in_task([trees.Sample(found, g, np.ones(5000))], limits)
+    again, node = trees.grow_whole(found, np.arange(5000), g, None, limits)
+    place = trees.places(tree, found)
+    assert (node == trees.flat_places(again, found)).all() and again.feature.tolist() == tree.feature
+    assert again.cut[again.feature >= 0].tolist() == [c for c, f in zip(tree.cut, tree.feature) if f >= 0]
+    leaves = tree.leaves()
+    for leaf, rows in zip(leaves, trees.rows_of(tree, found, leaves)):
+        assert rows.tolist() == np.flatnonzero(place == leaf).tolist() == np.flatnonzero(node == leaf).tolist()
+
+    def sums(nodes):
+        of = trees.rows_of(tree, found, nodes)
+        rows, slot = np.concatenate(of), np.repeat(np.arange(len(of)), [len(x) for x in of])
+        return trees.code_sums(found, rows, slot, g[rows], None, len(nodes), limits)
+
+    for parent in (0, 1, 2):
+        pair = tree.child[parent]
+        for side in (0, 1):
+            both = trees.siblings(sums([parent]), sums([pair[side]]), np.array([side]))
+            assert both == pytest.approx(sums(pair), abs=1e-10)
+            assert (both[0][both[1] == 0] == 0).all()
+
+
+@pytest.mark.parametrize("config", [TWEEDIE_CONFIG, SQUARED_CONFIG])
+def test_blocks_of_many_tasks_leave_memory_to_the_samples(spark, rows, monkeypatch, config):
+    """Before, two rounds' blocks with keys and the samples with both derivatives lay in memory at once."""
+    from pyspark import RDD, StorageLevel
+
+    state = boosting.training_state(rows.repartition(4), FEATURES, ["id"], task_rows=700)
+    levels, kinds, grow, persist = [], [], boosting.grow_over, RDD.persist
+
+    def kept(self, level):
+        levels.append(level)
+        return persist(self, level)
+
+    def grown(samples, limits, tasks, counted, read):
+        released = []
+        found = grow(samples, limits, tasks, counted, lambda: released.append(read()))
+        kinds.append((counted, set(samples.map(lambda s: s.h is None).collect()), len(released)))
+        return found
+
+    monkeypatch.setattr(RDD, "persist", kept)
+    monkeypatch.setattr(boosting, "grow_over", grown)
+    p = params(config, n_estimators=2, max_depth=4)
+    boosting.fit_boosted(rows, FEATURES, p, ["id"], state=state)
+    assert levels == [StorageLevel.DISK_ONLY, StorageLevel.MEMORY_AND_DISK_DESER] * 2 + [StorageLevel.DISK_ONLY]
+    assert kinds == [(not p.log_link, {not p.log_link}, 1)] * 2
